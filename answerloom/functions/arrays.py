@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,6 +13,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def records(names: Sequence[str], *rows: Sequence[Column]) -> Column:
+    """Array of equally named structs, for ``inline``: one output row per entry."""
+    return F.array(
+        *[F.struct(*[c.alias(n) for n, c in zip(names, row, strict=True)]) for row in rows]
+    )
+
+
 def value_counts(items: Column) -> Column:
     """Map of distinct array element -> number of occurrences (null for null).
 

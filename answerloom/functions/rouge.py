@@ -35,27 +35,33 @@ def rouge1_f1(pred: Column, ref: Column) -> Column:
     )
 
 
-def _lcs(a, b) -> int:
-    # Bit-parallel row update (Crochemore et al. 2001): zero bits of ``row``
-    # mark the columns at which the LCS length grows.
-    if len(a) == 0 or len(b) == 0:
-        return 0
-    where: dict[str, int] = {}
-    for i, token in enumerate(b):
-        where[token] = where.get(token, 0) | (1 << i)
-    full = (1 << len(b)) - 1
-    row = full
-    for token in a:
-        hit = row & where.get(token, 0)
-        if hit:
-            row = ((row + hit) | (row - hit)) & full
-    return len(b) - row.bit_count()
-
-
-@F.pandas_udf("long")
-def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Length of the longest common subsequence of two token arrays."""
-    return pd.Series([_lcs(x, y) for x, y in zip(a, b)], dtype="int64")
+def lcs_length(a: Column, b: Column) -> Column:
+    """Length of the longest common subsequence of two token arrays.
+
+    The nested function travels to the executors by value, so they do not need
+    this package installed.
+    """
+
+    def length(x, y) -> int:
+        # Bit-parallel row update (Crochemore et al. 2001): zero bits of ``row``
+        # mark the columns at which the length grows.
+        if len(x) == 0 or len(y) == 0:
+            return 0
+        where: dict[str, int] = {}
+        for i, token in enumerate(y):
+            where[token] = where.get(token, 0) | (1 << i)
+        full = (1 << len(y)) - 1
+        row = full
+        for token in x:
+            hit = row & where.get(token, 0)
+            if hit:
+                row = ((row + hit) | (row - hit)) & full
+        return len(y) - row.bit_count()
+
+    def lengths(xs: pd.Series, ys: pd.Series) -> pd.Series:
+        return pd.Series([length(x, y) for x, y in zip(xs, ys)], dtype="int64")
+
+    return F.pandas_udf(lengths, "long")(a, b)
 
 
 def rougeL_f1(pred_tokens: Column, ref_tokens: Column, lcs: Column) -> Column:

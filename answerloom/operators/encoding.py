@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from answerloom.functions.arrays import records
 from answerloom.functions.text import tokenize_ws
 from answerloom.names import ID
 from answerloom.operators.sampling import shuffle_rows
@@ -45,9 +46,10 @@ def encode_examples(
     join and put back in order.
     """
     # both sides in one pass over the vocabulary; null fields leave no trace
-    sides = F.array(
-        F.struct(F.lit("i").alias("side"), F.slice(tokenize_ws(F.col("prompt")), 1, max_input).alias("words")),
-        F.struct(F.lit("t"), F.slice(tokenize_ws(F.col("answer")), 1, max_target)),
+    sides = records(
+        ("side", "words"),
+        (F.lit("i"), F.slice(tokenize_ws(F.col("prompt")), 1, max_input)),
+        (F.lit("t"), F.slice(tokenize_ws(F.col("answer")), 1, max_target)),
     )
     words = pairs.select(ID, F.inline(sides)).select(
         ID, "side", F.posexplode("words").alias("pos", "word")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from answerloom.functions.arrays import records
 from answerloom.names import SUBSET
 
 # Settings every run derives from its own name.
@@ -23,13 +24,12 @@ def resolve_configs(base: DataFrame, runs: DataFrame, overrides: DataFrame) -> D
     derived = runs.select(
         "run",
         F.inline(
-            F.array(
-                F.struct(F.lit("run_name").alias("key"), name.alias("value")),
-                F.struct(F.lit("output_dir"), folder),
-                F.struct(
-                    F.lit("submission_path"), F.concat(folder, F.lit("/submission.csv"))
-                ),
-                F.struct(F.lit("notes"), F.col("hypothesis")),
+            records(
+                ("key", "value"),
+                (F.lit("run_name"), name),
+                (F.lit("output_dir"), folder),
+                (F.lit("submission_path"), F.concat(folder, F.lit("/submission.csv"))),
+                (F.lit("notes"), F.col("hypothesis")),
             )
         ),
     )
@@ -149,25 +149,57 @@ def best_checkpoint(history: DataFrame) -> DataFrame:
     )
 
 
-def early_stop_epoch(history: DataFrame, patience: int = 2) -> DataFrame:
+def early_stop_epoch(
+    history: DataFrame, patience: int = 2, block: int = 50_000
+) -> DataFrame:
     """(run, stop_epoch): first epoch ending ``patience`` evaluations in a row that
-    do not beat the best so far; null when training runs on."""
+    do not beat the best so far; null when training runs on.
+
+    ``history`` is (run, integer epoch, metric). A run is worked off in blocks of
+    epochs: inside a block by window, across blocks over one summary row each, so
+    a run of any length never lands in one task.
+    """
     runs = history.select("run").distinct()
     if patience <= 0:
         return runs.withColumn("stop_epoch", F.lit(None).cast("long"))
-    order = Window.partitionBy("run").orderBy("epoch")
-    before = F.max("metric").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    better = before.isNull() | (F.col("metric") > before)
-    # every improvement opens an island; its position inside counts the misses
-    island = F.sum(F.col("better").cast("int")).over(
-        order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    blocks = Window.partitionBy("run").orderBy("block")
+    inside = Window.partitionBy("run", "block").orderBy("epoch")
+    earlier_blocks = blocks.rowsBetween(Window.unboundedPreceding, -1)
+    earlier_rows = inside.rowsBetween(Window.unboundedPreceding, -1)
+    rows_so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    placed = history.withColumn("block", F.floor(F.col("epoch") / block))
+    best = placed.groupBy("run", "block").agg(F.max("metric").alias("m"))
+    best = best.select("run", "block", F.max("m").over(earlier_blocks).alias("best"))
+    before = F.greatest("best", F.max("metric").over(earlier_rows))
+    # misses since the last improvement in the block, or since the block began
+    judged = (
+        placed.join(best, ["run", "block"])
+        .withColumn("before", before)
+        .withColumn("better", F.col("before").isNull() | (F.col("metric") > F.col("before")))
+        .withColumn("nth", F.row_number().over(inside))
+        .withColumn("last", F.max(F.when(F.col("better"), F.col("nth"))).over(rows_so_far))
+        .withColumn("misses", F.col("nth") - F.coalesce("last", F.lit(0)))
+    )
+    # misses carried into a block: tails of the blocks since the last improvement
+    upto = blocks.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    tails = (
+        judged.groupBy("run", "block")
+        .agg(
+            F.max_by("misses", "nth").alias("tail"),
+            F.bool_or("better").alias("improved"),
+        )
+        .withColumn("sum", F.sum("tail").over(upto))
+        .withColumn(
+            "reset", F.max(F.when(F.col("improved"), F.col("sum") - F.col("tail"))).over(upto)
+        )
+        .withColumn("out", F.col("sum") - F.col("reset"))
+        .select("run", "block", F.coalesce(F.lag("out").over(blocks), F.lit(0)).alias("carry"))
     )
-    within = Window.partitionBy("run", "island").orderBy("epoch")
+    carried = F.when(F.col("last").isNull(), F.col("carry")).otherwise(F.lit(0))
     stops = (
-        history.withColumn("better", better)
-        .withColumn("island", island)
-        .withColumn("misses", F.row_number().over(within) - 1)
-        .where(F.col("misses") >= patience)
+        judged.join(tails, ["run", "block"])
+        .where(F.col("misses") + carried >= patience)
         .groupBy("run")
         .agg(F.min("epoch").alias("stop_epoch"))
     )

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from answerloom.functions.arrays import records
 from answerloom.functions.rouge import f1, lcs_length, overlap
 from answerloom.functions.text import tokenize_ws
 from answerloom.names import ANSWER, SUBSET
@@ -27,7 +28,7 @@ def score_pairs(df: DataFrame, prediction: str, reference: str = ANSWER) -> Data
     )
 
 
-def _means() -> list[Column]:
+def mean_scores() -> list[Column]:
     r1 = F.coalesce(F.avg("rouge1_f1"), F.lit(0.0))
     rl = F.coalesce(F.avg("rougeL_f1"), F.lit(0.0))
     return [
@@ -39,7 +40,7 @@ def _means() -> list[Column]:
 
 def rouge_overall(scored: DataFrame) -> DataFrame:
     """One row of mean scores; zeros for an empty table."""
-    return scored.agg(*_means())
+    return scored.agg(*mean_scores())
 
 
 def rouge_by_subset(scored: DataFrame, by: str = SUBSET) -> DataFrame:
@@ -47,25 +48,23 @@ def rouge_by_subset(scored: DataFrame, by: str = SUBSET) -> DataFrame:
     return (
         scored.where(F.col(by).isNotNull())
         .groupBy(by)
-        .agg(F.count("*").alias("count"), *_means())
+        .agg(F.count("*").alias("count"), *mean_scores())
         .orderBy("combined", by)
     )
 
 
 def rouge_by_method(scored: DataFrame) -> DataFrame:
     """One row per ``method`` over the same rows: the baseline comparison."""
-    return scored.groupBy("method").agg(F.count("*").alias("count"), *_means())
+    return scored.groupBy("method").agg(F.count("*").alias("count"), *mean_scores())
 
 
 def compare_baselines(
     df: DataFrame, predictions: Mapping[str, str], reference: str = ANSWER
 ) -> DataFrame:
     """Score several prediction columns (method name -> column) in one pass."""
-    methods = F.array(
-        *[
-            F.struct(F.lit(name).alias("method"), F.col(c).alias("prediction"))
-            for name, c in predictions.items()
-        ]
+    methods = records(
+        ("method", "prediction"),
+        *[(F.lit(name), F.col(c)) for name, c in predictions.items()],
     )
     long = df.select(F.col(reference).alias("reference"), F.inline(methods))
     return rouge_by_method(score_pairs(long, "prediction", "reference"))

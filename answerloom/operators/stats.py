@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from answerloom.functions.arrays import records
 from answerloom.functions.text import latin_fraction, word_count
 from answerloom.names import ANSWER, QUESTION, SUBSET
 
@@ -77,9 +78,10 @@ def length_histogram(df: DataFrame, bins: int = BINS, clip: int = CLIP) -> DataF
         _lengths(df)
         .select(
             F.inline(
-                F.array(
-                    F.struct(F.lit("question").alias("metric"), F.col("q").alias("n")),
-                    F.struct(F.lit("answer"), F.least("a", F.lit(clip).cast("long"))),
+                records(
+                    ("metric", "n"),
+                    (F.lit("question"), F.col("q")),
+                    (F.lit("answer"), F.least("a", F.lit(clip).cast("long"))),
                 )
             )
         )
@@ -97,7 +99,7 @@ def length_histogram(df: DataFrame, bins: int = BINS, clip: int = CLIP) -> DataF
     frame = (
         filled.select("metric", "lo", "hi")
         .distinct()
-        .withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).cast("long"))
+        .withColumn("bin", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))))
     )
     return frame.join(filled, ["metric", "lo", "hi", "bin"], "left").select(
         "metric",

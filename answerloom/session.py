@@ -15,6 +15,7 @@ def local_session(cpus: int | None = None, name: str = "answerloom") -> SparkSes
         .config("spark.sql.shuffle.partitions", str(n))
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
