@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from answerloom.functions.arrays import records, value_counts
-from answerloom.functions.rouge import lcs_length, overlap, rouge1_f1
+from answerloom.functions.rouge import f1, lcs_length, overlap
 from answerloom.functions.text import (
     build_prompt,
     char_ngrams,
@@ -305,7 +305,8 @@ def shuffle_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _split(spark: SparkSession, sf_dir: str, share: float = HOLDOUT) -> tuple[DataFrame, DataFrame]:
-    return sampling.stratified_split(_qa(spark, sf_dir), share, SEED)
+    """Both parts of the clean corpus, written once because many passes read it."""
+    return sampling.stratified_split(stage(_qa(spark, sf_dir), "qa", ID), share, SEED)
 
 
 def _all_routes(holdout: DataFrame) -> DataFrame:
@@ -328,14 +329,15 @@ def retrieval_route(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _counts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    index = retrieval.index_entries(_qa(spark, sf_dir))
-    return index, stage(retrieval.gram_counts(index), "counts")
+    entries = retrieval.index_entries(_qa(spark, sf_dir))
+    return entries, stage(retrieval.gram_counts(entries), "counts")
 
 
 @query
 def gram_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries, counts = _counts(spark, sf_dir)
-    terms = retrieval.gram_idf(entries, stage(retrieval.gram_stats(counts), "stats"))
+    sizes = retrieval.index_sizes(entries)
+    terms = retrieval.gram_idf(sizes, stage(retrieval.gram_stats(counts), "stats"))
     return terms.withColumn("idf", F.round("idf", 6))
 
 
@@ -391,11 +393,14 @@ def _methods(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def rouge1_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents: the sentinel-cleaned generation against the whole answer."""
-    text = sentinel_cleanup(F.col("generation"))
-    return documents_qa(spark, sf_dir).select(
+    p, r = F.col("p"), F.col("r")
+    tokens = documents_qa(spark, sf_dir).select(
         ID,
-        overlap(tokenize_ws(text), tokenize_ws(F.col(ANSWER))).alias("common"),
-        rouge1_f1(text, F.col(ANSWER)).alias("rouge1_f1"),
+        tokenize_ws(sentinel_cleanup(F.col("generation"))).alias("p"),
+        tokenize_ws(F.col(ANSWER)).alias("r"),
+    )
+    return tokens.withColumn("common", overlap(p, r)).select(
+        ID, "common", f1(F.col("common"), F.size(p), F.size(r)).alias("rouge1_f1")
     )
 
 
