@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from answerloom.functions.text import clean_strip
 from answerloom.names import ID, SUBMISSION_COLUMNS
+from answerloom.sources.tables import write_csv
 
 MIN_CHARS = 5
 _TARGETS = SUBMISSION_COLUMNS[1:]
@@ -166,8 +167,7 @@ def write_submission(
     out = submission.select(*SUBMISSION_COLUMNS)
     if one_file:
         out = out.coalesce(1)
-    writer = out.write.mode("overwrite")
     if fmt == "csv":
-        writer.csv(path, header=True, quote='"', escape='"')
+        write_csv(out, path, "overwrite")
     else:
-        writer.format(fmt).save(path)
+        out.write.mode("overwrite").format(fmt).save(path)

@@ -643,7 +643,7 @@ def leaderboard_progression(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[c.alias(n) for n, c in scores.items()],
         F.col("event_type").alias("notes"),
     )
-    made.write.csv(path, header=True, quote='"', escape='"')
+    tables.write_csv(made, path)
     log = _event_runs(spark, sf_dir).where(F.col("combined") > 100)
     return runs.leaderboard_progression(tables.load_progression(spark, path), log)
 

@@ -72,8 +72,16 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     )
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.csv(path, header=True, quote='"', escape='"', quoteAll=True)
+def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
+    """Header CSV directory; blanks inside cells survive (Spark trims by default)."""
+    df.write.mode(mode).csv(
+        path,
+        header=True,
+        quote='"',
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
 
 
 def load_split(spark: SparkSession, path: str, has_answer: bool = True) -> DataFrame:
