@@ -45,32 +45,33 @@ def encode_examples(
     The length limits are those of the encoding itself; words are looked up by a
     join and put back in order.
     """
-    # both sides in one pass over the vocabulary; null fields leave no trace
+    # both sides in one pass over the vocabulary; an empty side leaves a null word
     sides = records(
         ("side", "words"),
         (F.lit("i"), F.slice(tokenize_ws(F.col("prompt")), 1, max_input)),
         (F.lit("t"), F.slice(tokenize_ws(F.col("answer")), 1, max_target)),
     )
     words = pairs.select(ID, F.inline(sides)).select(
-        ID, "side", F.posexplode("words").alias("pos", "word")
+        ID, "side", F.posexplode_outer("words").alias("pos", "word")
     )
     coded = words.join(vocabulary, "word", "left").select(
         ID,
         "side",
+        "pos",
         F.struct("pos", F.coalesce("word_id", F.lit(UNKNOWN)).alias("id")).alias("t"),
     )
 
     def ids(side: str) -> Column:
-        found = F.collect_list(F.when(F.col("side") == side, F.col("t")))
+        mine = (F.col("side") == side) & F.col("pos").isNotNull()
+        found = F.collect_list(F.when(mine, F.col("t")))
         return F.transform(F.array_sort(found), lambda t: t["id"])
 
     arrays = coded.groupBy(ID).agg(ids("i").alias("i"), ids("t").alias("t"))
-    none = F.array().cast("array<int>")
-    return pairs.select(ID).join(arrays, ID, "left").select(
+    return arrays.select(
         ID,
-        F.coalesce("i", none).alias("input_ids"),
-        F.transform(F.coalesce("i", none), lambda _x: F.lit(1)).alias("attention_mask"),
-        label_mask(F.coalesce("t", none)).alias("labels"),
+        F.col("i").alias("input_ids"),
+        F.transform("i", lambda _x: F.lit(1)).alias("attention_mask"),
+        label_mask(F.col("t")).alias("labels"),
     )
 
 

@@ -67,7 +67,7 @@ def documents_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dialogue_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean (ID, input, output, subset, generation) of user/assistant exchanges."""
-    turns = spread(table(spark, sf_dir, "conversations"), "conv_id")
+    turns = spread(table(spark, sf_dir, "conversations"), "conv_id", "turn")
     user = turns.where(F.col("role") == "user").select(
         "conv_id", "turn", F.col("text").alias("input")
     )

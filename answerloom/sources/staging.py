@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,8 +27,29 @@ def workspace(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{workspace(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = _run_folder.get() or workspace(spark)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Keep everything staged inside the block in one folder, deleted at its end.
+
+    Results are lazy: consume or write them before leaving the block.
+    """
+    folder = f"{workspace(spark)}/run-{uuid.uuid4().hex}"
+    token = _run_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _run_folder.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        path.getFileSystem(conf).delete(path, True)
 
 
 def spread(scan: DataFrame, *keys: str) -> DataFrame:

@@ -11,6 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from answerloom.plans.catalog import QUERIES
 from answerloom.session import local_session
+from answerloom.sources.staging import scratch
 
 HEADLINE = [
     "retrieval_baseline",
@@ -45,9 +46,10 @@ def main() -> None:
     QUERIES["rouge_by_subset"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     seconds = {}
     for name in HEADLINE:
-        start = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - start, 3)
+        with scratch(spark):
+            start = time.perf_counter()
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            seconds[name] = round(time.perf_counter() - start, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(
         json.dumps(
