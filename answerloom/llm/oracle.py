@@ -3,7 +3,14 @@
 from __future__ import annotations
 
 _OP1 = """
-with d as (
+with recursive divisions as (
+  select n, 0 as k, n::bigint as c from range(256) r(n)
+  union all
+  select n, k + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end
+  from divisions where k < 8
+), crcs as (
+  select list(c order by n) as entries from divisions where k = 8
+), d as (
   select doc_id, coalesce(text, '') as body,
          octet_length(encode(coalesce(text, '')))::bigint + 8 as size,
          substr(md5(coalesce(text, '')), 1, 14) as digest
@@ -15,12 +22,40 @@ with d as (
          (sum(size) over ())::hugeint as total
   from d
 ), s as (
-  select *, ((before * 24) // total)::int as shard from t
+  select *, ((before * 24) // total)::int as shard,
+         list_prepend(4294967295::bigint, list_transform(
+           regexp_extract_all(hex(encode(body)), '..'), lambda x: ('0x' || x)::bigint)) as bytes
+  from t
 )
-select doc_id, size, crc as text_crc32, 'bytes' as law, shard,
+select doc_id, size,
+       xor(list_reduce(bytes, lambda a, x: xor(a >> 8, entries[(xor(a, x) & 255) + 1])),
+           4294967295) as text_crc32,
+       'bytes' as law, shard,
        row_number() over (partition by shard order by digest, doc_id nulls first) - 1 as slot,
        null::int as grown_shard
-from (select *, 0 as crc from s)
+from s, crcs
 """
 
-ORACLES: dict[str, str] = {}
+_OP4 = """
+with p as (
+  select page_id, encode(coalesce(html, '')) as payload from pages
+), d as (
+  select page_id, octet_length(payload)::bigint as payload_bytes, sha1(payload) as digest,
+         min(page_id) over (partition by payload) as first_id
+  from p
+), r as (
+  select *, page_id is not distinct from first_id or first_id is null as response from d
+)
+select page_id, payload_bytes,
+       translate(array_to_string(list_transform(range(8),
+           lambda i: to_base(('0x' || substr(digest, 1 + 5 * i, 5))::bigint, 32, 4)), ''),
+         '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') as payload_digest,
+       case when response then 'response' else 'revisit' end as record_type,
+       case when not response then first_id end as refers_to
+from r
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_histogram_sort": _OP1,
+    "op4_content_archive": _OP4,
+}

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from answerloom.llm.archive import header_field, read_archive, sha1_base32, write_archive
+from answerloom.llm.bpe import decode_ids, encode_texts, token_count
 from answerloom.llm.sharding import histogram_shards, text_keys, text_size
+from answerloom.sources.staging import new_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,4 +32,41 @@ def op1_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_histogram_sort": op1_histogram_sort}
+def op4_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to a content-addressed WARC archive and read back."""
+    path = new_path(spark, "warc")
+    write_archive(_table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    refers = F.regexp_extract(header_field("header", "WARC-Refers-To"), r"record:(\d+)>", 1)
+    return read_archive(spark, path).select(
+        F.col("record_id").alias("page_id"),
+        F.octet_length("payload").cast("bigint").alias("payload_bytes"),
+        sha1_base32(F.col("payload")).alias("payload_digest"),
+        header_field("header", "WARC-Type").alias("record_type"),
+        refers.cast("bigint").alias("refers_to"),
+    )
+
+
+def tokenizer(name: str = "byte_bpe_multi_50k.tiktoken") -> tuple[bytes, str]:
+    """Content of a public rank file and its pattern, read where the query is planned."""
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read(), public_tokenizers.PATTERN
+
+
+def op7_recursive_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again; digests of ids and bytes."""
+    blob, pattern = tokenizer()
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = decode_ids(encode_texts(docs, blob, pattern).drop("text"), blob, pattern)
+    return coded.select(
+        "doc_id",
+        token_count("token_ids").alias("n_tokens"),
+        F.sha2("token_ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+QUERIES = {
+    "op1_histogram_sort": op1_histogram_sort,
+    "op4_content_archive": op4_content_archive,
+    "op7_recursive_bpe": op7_recursive_bpe,
+}
