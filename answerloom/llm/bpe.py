@@ -133,7 +133,8 @@ class Codec:
             own = word[done]
             data = ids[done].astype("<u4")
             starts = np.flatnonzero(np.diff(own, prepend=-1))
-            for a, b in zip(starts, np.append(starts[1:], len(own)), strict=True):
+            ends = np.append(starts[1:], len(own))[: len(starts)]
+            for a, b in zip(starts, ends, strict=True):
                 self.words[batch[own[a]][0]] = data[a:b].tobytes()
             word, ids = word[~done], ids[~done]
 
