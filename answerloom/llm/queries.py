@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from answerloom.llm.archive import header_field, read_archive, sha1_base32, write_archive
 from answerloom.llm.bpe import decode_ids, encode_texts, token_count
+from answerloom.llm.mixing import mix_plan, word_count
 from answerloom.llm.sharding import histogram_shards, text_keys, text_size
 from answerloom.sources.staging import new_path
 
@@ -46,6 +47,18 @@ def op4_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the weights 3, 1, 2 of their sources, 150 % of all words."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mix_plan(docs, word_count("text")).select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("copies") * F.col("size")).cast("bigint").alias("taken"),
+    )
+
+
 def tokenizer(name: str = "byte_bpe_multi_50k.tiktoken") -> tuple[bytes, str]:
     """Content of a public rank file and its pattern, read where the query is planned."""
     with open(public_tokenizers.path(name), "rb") as f:
@@ -68,5 +81,6 @@ def op7_recursive_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_histogram_sort": op1_histogram_sort,
     "op4_content_archive": op4_content_archive,
+    "op5_cube_mix": op5_cube_mix,
     "op7_recursive_bpe": op7_recursive_bpe,
 }
