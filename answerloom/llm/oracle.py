@@ -55,7 +55,27 @@ select page_id, payload_bytes,
 from r
 """
 
+_OP6 = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(x::double * 256)::bigint) as point
+  from embeddings
+  where vec_id is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+), s as (
+  select q.vec_id as query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.point, c.point), lambda p: p[1] * p[2]))::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.point) = len(c.point)
+  where q.vec_id % 50 = 0
+)
+select query_id,
+       row_number() over (partition by query_id order by score desc, vec_id)::int as rank,
+       vec_id, score
+from s
+qualify rank <= 5
+"""
+
 ORACLES: dict[str, str] = {
     "op1_histogram_sort": _OP1,
     "op4_content_archive": _OP4,
+    "op6_kdtree_topk": _OP6,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from answerloom.llm.archive import header_field, read_archive, sha1_base32, write_archive
 from answerloom.llm.bpe import decode_ids, encode_texts, token_count
+from answerloom.llm.kdtree import exact_topk, integer_vectors
 from answerloom.llm.mixing import mix_plan, word_count
 from answerloom.llm.sharding import histogram_shards, text_keys, text_size
 from answerloom.sources.staging import new_path
@@ -59,6 +60,13 @@ def op5_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_kdtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors of every vector whose id is divisible by 50."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    points = integer_vectors(vectors, "vec_id", "embedding")
+    return exact_topk(points, F.col("vec_id") % 50 == 0, 5)
+
+
 def tokenizer(name: str = "byte_bpe_multi_50k.tiktoken") -> tuple[bytes, str]:
     """Content of a public rank file and its pattern, read where the query is planned."""
     with open(public_tokenizers.path(name), "rb") as f:
@@ -82,5 +90,6 @@ QUERIES = {
     "op1_histogram_sort": op1_histogram_sort,
     "op4_content_archive": op4_content_archive,
     "op5_cube_mix": op5_cube_mix,
+    "op6_kdtree_topk": op6_kdtree_topk,
     "op7_recursive_bpe": op7_recursive_bpe,
 }
