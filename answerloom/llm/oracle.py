@@ -74,8 +74,49 @@ from s
 qualify rank <= 5
 """
 
+_OP8 = r"""
+with d as (
+  select row_number() over () as r, doc_id, coalesce(text, '') as body from documents
+), w as (
+  select *, regexp_extract_all(body, '[^\x20\x09-\x0D]+') as words,
+         list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+  from d
+), b as (
+  select *, len(words)::bigint as n_words,
+         coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::bigint as word_chars,
+         (length(body) - length(translate(body, '#*$%&|<>', '')))::bigint as n_symbols,
+         (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines
+  from w
+), wins as (
+  select r, unnest(range(1, n_words - 3)) as i,
+         unnest(list_transform(range(1, n_words - 3), lambda i: list_slice(words, i, i + 4))) as win
+  from b where n_words >= 5
+), again as (
+  select r, i from wins qualify count(*) over (partition by r, win) > 1
+), reps as (
+  select r, count(distinct i + k)::bigint as n_repeat_words
+  from again, range(5) t(k) group by r
+), s as (
+  select b.*, coalesce(reps.n_repeat_words, 0) as n_repeat_words from b left join reps using (r)
+), f as (
+  select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from s
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not (base_failed
+         or 10 * n_symbols > n_words
+         or 20 * n_dup_lines > 7 * len(lines)
+         or word_chars < 2 * n_words or word_chars > 12 * n_words
+         or 2 * len(regexp_extract_all(body, '\p{Lu}')) > word_chars
+         or 2 * (length(body) - length(translate(body, '!?', ''))) > n_words
+         or 5 * len(regexp_extract_all(body, '\p{L}')) < 2 * word_chars
+         or 5 * len(list_filter(range(2, n_words + 1), lambda i: words[i] = words[i - 1])) > n_words
+       ) as kept
+from f
+"""
+
 ORACLES: dict[str, str] = {
     "op1_histogram_sort": _OP1,
     "op4_content_archive": _OP4,
     "op6_kdtree_topk": _OP6,
+    "op8_rule_cascade": _OP8,
 }

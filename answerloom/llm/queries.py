@@ -10,6 +10,7 @@ from answerloom.llm.archive import header_field, read_archive, sha1_base32, writ
 from answerloom.llm.bpe import decode_ids, encode_texts, token_count
 from answerloom.llm.kdtree import exact_topk, integer_vectors
 from answerloom.llm.mixing import mix_plan, word_count
+from answerloom.llm.rules import cascade
 from answerloom.llm.sharding import histogram_shards, text_keys, text_size
 from answerloom.sources.staging import new_path
 
@@ -86,10 +87,16 @@ def op7_recursive_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics and the verdict of the rule cascade for every document."""
+    return cascade(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 QUERIES = {
     "op1_histogram_sort": op1_histogram_sort,
     "op4_content_archive": op4_content_archive,
     "op5_cube_mix": op5_cube_mix,
     "op6_kdtree_topk": op6_kdtree_topk,
     "op7_recursive_bpe": op7_recursive_bpe,
+    "op8_rule_cascade": op8_rule_cascade,
 }
