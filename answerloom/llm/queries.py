@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from answerloom.llm.archive import header_field, read_archive, sha1_base32, write_archive
 from answerloom.llm.bpe import decode_ids, encode_texts, token_count
+from answerloom.llm.importance import importance_resample
 from answerloom.llm.kdtree import exact_topk, integer_vectors
 from answerloom.llm.mixing import mix_plan, word_count
 from answerloom.llm.rules import cascade
@@ -92,6 +93,12 @@ def op8_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log weight, perturbed score and verdict of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance_resample(docs, _table(spark, sf_dir, "labels")).drop("text")
+
+
 QUERIES = {
     "op1_histogram_sort": op1_histogram_sort,
     "op4_content_archive": op4_content_archive,
@@ -99,4 +106,5 @@ QUERIES = {
     "op6_kdtree_topk": op6_kdtree_topk,
     "op7_recursive_bpe": op7_recursive_bpe,
     "op8_rule_cascade": op8_rule_cascade,
+    "op10_importance_resampling": op10_importance_resampling,
 }
