@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from answerloom.llm.archive import header_field, read_archive, sha1_base32, write_archive
 from answerloom.llm.bpe import decode_ids, encode_texts, token_count
+from answerloom.llm.extraction import extract_pages
 from answerloom.llm.importance import importance_resample
 from answerloom.llm.kdtree import exact_topk, integer_vectors
 from answerloom.llm.mixing import mix_plan, word_count
@@ -93,6 +94,14 @@ def op8_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op9_crf_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = extract_pages(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select(
+        "page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars")
+    )
+
+
 def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log weight, perturbed score and verdict of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -106,5 +115,6 @@ QUERIES = {
     "op6_kdtree_topk": op6_kdtree_topk,
     "op7_recursive_bpe": op7_recursive_bpe,
     "op8_rule_cascade": op8_rule_cascade,
+    "op9_crf_extraction": op9_crf_extraction,
     "op10_importance_resampling": op10_importance_resampling,
 }
