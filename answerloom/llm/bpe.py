@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import duckdb
 import numpy as np
@@ -16,38 +16,36 @@ from pyspark.sql import functions as F
 #: Bytes of different words that one recursive query contracts together.
 WORD_BYTES = 200_000
 #: Rows that one recursive query may pile up; longer words go through several queries.
-PILE = 4_000_000
-#: Words a worker remembers; at more it forgets them all and computes them again.
-REMEMBERED = 1_000_000
+PILE = 2_000_000
+#: Different words that a worker remembers; the longest unused go and are computed anew.
+REMEMBERED = 400_000
 #: Tokens that one query decodes together.
-DECODE_TOKENS = 1_000_000
+DECODE_TOKENS = 250_000
 
 # Each round pairs every token with its right neighbour, joins the merge table, takes the
-# leftmost of each word's pairs of lowest rank and contracts it.  Words without a pair
-# leave the recursion; their last rows are the result.
+# leftmost of each word's pairs of lowest rank and contracts it: the left row gets the
+# merged token, the right row goes.  A word without a pair is done.  Ranks are the ids.
 _CONTRACT = """
 with recursive state as (
-  select 0 as turn, word, pos, id from source
+  select 0::int as turn, false as done, word, pos, id from source
   union all
   (with pairs as materialized (
-     select turn, word, pos, id, next_pos, rank, merged
+     select turn, word, pos, id, last_pos, merged
      from (
        select turn, word, pos, id, lead(id) over here as next_id,
-              lead(pos) over here as next_pos, lead(word) over here as next_word
-       from state window here as (order by pos)
+              lead(word) over here as next_word, lag(pos) over here as last_pos
+       from state where not done and turn < $turns window here as (order by pos)
      ) left join merges on id = left_id and next_id = right_id and next_word = word
    ), best as materialized (
-     select word, min(rank * 4294967296 + pos) as chosen,
-            arg_min(next_pos, rank * 4294967296 + pos) as gone,
-            arg_min(merged, rank * 4294967296 + pos) as merged
-     from pairs where rank is not null group by word
+     select word, min(merged::bigint << 32 | pos) as chosen
+     from pairs where merged is not null group by word
    )
-   select turn + 1, p.word, pos, case when pos = chosen & 4294967295 then b.merged else id end
-   from pairs p join best b on p.word = b.word
-   where pos <> gone and turn < $turns)
-), ends as (select word, max(turn) as turn from state group by word)
-select s.word, s.pos, s.id, s.turn from state s join ends e on s.word = e.word and s.turn = e.turn
-order by s.pos
+   select turn + 1, chosen is null, p.word, pos,
+          case when pos = (chosen & 4294967295) then (chosen >> 32)::int else id end
+   from pairs p left join best b on p.word = b.word
+   where chosen is null or last_pos is distinct from (chosen & 4294967295))
+)
+select word, pos, id, done from state where done or turn = $turns order by pos
 """
 
 _DECODE = """
@@ -69,30 +67,38 @@ class Codec:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.find = regex.compile(pattern).findall
-        self.single = ranks
+        self.ranks = ranks
         self.words: dict[str, bytes] = {}
-        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+        self.older: dict[str, bytes] = {}
+        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
+        self.sql = duckdb.connect()
+        self.sql.execute("set threads = 1")
+        self.made: set[str] = set()
+
+    def _merges(self) -> None:
+        ranks = self.ranks
         splits = [
             (ranks[t[:i]], ranks[t[i:]], r)
             for t, r in ranks.items()
             for i in range(1, len(t))
             if t[:i] in ranks and t[i:] in ranks
         ]
-        self.sql = duckdb.connect()
-        self.sql.execute("set threads = 1")
-        left, right, rank = (np.array(x, dtype=np.int64) for x in zip(*splits, strict=True))
-        self._table("merges", left_id=left, right_id=right, rank=rank, merged=rank)
+        left, right, rank = (np.array(x, dtype=np.int32) for x in zip(*splits, strict=True))
+        self._table("merges", left_id=left, right_id=right, merged=rank)
+
+    def _vocabulary(self) -> None:
         # bytes as the characters of the same numbers, so that they aggregate as text
         self._table(
             "vocabulary",
-            id=np.array(list(ranks.values()), dtype=np.int64),
-            piece=[t.decode("latin-1") for t in ranks],
+            id=np.array(list(self.ranks.values()), dtype=np.int32),
+            piece=[t.decode("latin-1") for t in self.ranks],
         )
 
     def _table(self, name: str, **columns) -> None:
         self.sql.register("given", pa.table(columns))
         self.sql.execute(f"create table {name} as select * from given")
         self.sql.unregister("given")
+        self.made.add(name)
 
     def _query(self, query: str, **columns) -> pa.Table:
         self.sql.register("source", pa.table(columns))
@@ -102,11 +108,13 @@ class Codec:
 
     def _learn(self, words: list[str]) -> None:
         """Encode words that are not remembered."""
+        if "merges" not in self.made:
+            self._merges()
         todo = []
         for w in words:
             b = w.encode()
-            if b in self.single:
-                self.words[w] = np.uint32(self.single[b]).tobytes()
+            if b in self.ranks:
+                self.words[w] = np.uint32(self.ranks[b]).tobytes()
             else:
                 todo.append((w, b))
         todo.sort(key=lambda x: len(x[1]))
@@ -126,10 +134,10 @@ class Codec:
         while len(word):
             turns = max(8, PILE // len(word))
             got = self._query(
-                _CONTRACT.replace("$turns", str(turns)), word=word, pos=np.arange(len(word)), id=ids
+                _CONTRACT.replace("$turns", str(turns)),
+                word=word.astype(np.int32), pos=np.arange(len(word), dtype=np.int32), id=ids
             )
-            word, ids, turn = (got[c].to_numpy() for c in ("word", "id", "turn"))
-            done = turn < turns
+            word, ids, done = (got[c].to_numpy() for c in ("word", "id", "done"))
             own = word[done]
             data = ids[done].astype("<u4")
             starts = np.flatnonzero(np.diff(own, prepend=-1))
@@ -140,15 +148,22 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         found = [self.find(t) for t in texts]
-        new = {w for words in found for w in words if w not in self.words}
-        if len(self.words) + len(new) > REMEMBERED:
-            self.words.clear()
-            new = {w for words in found for w in words}
-        self._learn(list(new))
+        used = {w for words in found for w in words}
+        if len(self.words) + len(used) > REMEMBERED // 2:
+            self.words, self.older = {}, self.words
+        unknown = []
+        for w in used - self.words.keys():
+            if w in self.older:
+                self.words[w] = self.older[w]
+            else:
+                unknown.append(w)
+        self._learn(unknown)
         get = self.words.__getitem__
         return [b"".join(map(get, words)) for words in found]
 
     def decode(self, packed: list[bytes]) -> list[bytes]:
+        if "vocabulary" not in self.made:
+            self._vocabulary()
         out = [b""] * len(packed)
         first = 0
         while first < len(packed):
@@ -156,13 +171,13 @@ class Codec:
             while last < len(packed) and (last == first or size + len(packed[last]) <= 4 * DECODE_TOKENS):
                 size += len(packed[last])
                 last += 1
-            ids = np.frombuffer(b"".join(packed[first:last]), dtype="<u4").astype(np.int64)
+            ids = np.frombuffer(b"".join(packed[first:last]), dtype="<u4").astype(np.int32)
             if len(ids):
                 counts = [len(p) // 4 for p in packed[first:last]]
                 got = self._query(
                     _DECODE,
-                    doc=np.repeat(np.arange(first, last), counts),
-                    pos=np.arange(len(ids)),
+                    doc=np.repeat(np.arange(first, last, dtype=np.int32), counts),
+                    pos=np.arange(len(ids), dtype=np.int32),
                     id=ids,
                 )
                 for doc, text in zip(got["doc"].to_pylist(), got["bytes"].to_pylist(), strict=True):
@@ -183,7 +198,7 @@ def codec(blob: bytes, pattern: str) -> Codec:
     return _CODECS[key]
 
 
-def _groups(texts: pd.Series, limit: int = 4_000_000) -> Iterator[list]:
+def _groups(texts: Iterable, limit: int = 1_000_000) -> Iterator[list]:
     """Parts of a batch of about ``limit`` characters or bytes."""
     part, size = [], 0
     for t in texts:
@@ -208,9 +223,8 @@ def encoder(blob: bytes, pattern: str):
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = codec(blob, pattern)
         for texts in batches:
-            yield pd.Series(
-                [x for part in _groups(texts.fillna("")) for x in own.encode(part)], dtype=object
-            )
+            for part in _groups(texts.fillna("")):
+                yield pd.Series(own.encode(part), dtype=object)
 
     return encode
 
@@ -222,10 +236,8 @@ def decoder(blob: bytes, pattern: str):
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = codec(blob, pattern)
         for ids in batches:
-            filled = pd.Series([x if x is not None else b"" for x in ids], dtype=object)
-            yield pd.Series(
-                [x for part in _groups(filled) for x in own.decode(part)], dtype=object
-            )
+            for part in _groups(x if x is not None else b"" for x in ids):
+                yield pd.Series(own.decode(part), dtype=object)
 
     return decode
 
