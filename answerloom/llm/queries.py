@@ -11,6 +11,7 @@ from answerloom.llm.bpe import decode_ids, encode_texts, token_count
 from answerloom.llm.extraction import extract_pages
 from answerloom.llm.importance import importance_resample
 from answerloom.llm.kdtree import exact_topk, integer_vectors
+from answerloom.llm.lines import dedup_lines
 from answerloom.llm.mixing import mix_plan, word_count
 from answerloom.llm.rules import cascade
 from answerloom.llm.sharding import histogram_shards, text_keys, text_size
@@ -37,6 +38,11 @@ def op1_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without lines that occur elsewhere, exactly or nearly."""
+    return dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to a content-addressed WARC archive and read back."""
     path = new_path(spark, "warc")
@@ -110,6 +116,7 @@ def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_histogram_sort": op1_histogram_sort,
+    "op3_fuzzy_lines": op3_fuzzy_lines,
     "op4_content_archive": op4_content_archive,
     "op5_cube_mix": op5_cube_mix,
     "op6_kdtree_topk": op6_kdtree_topk,
