@@ -18,7 +18,7 @@ SIMILARITY = 0.8
 #: Widths of the blocks of a SimHash.  DISTANCE wrong bits leave two of five blocks whole.
 _BLOCKS = (13, 13, 13, 13, 12)
 #: 16 counters of 4 lanes of 16 bits; so many words cannot overflow a lane.
-_CHUNK = 32768
+_CHUNK = 32767
 _LANES = 0x0001000100010001
 
 
