@@ -12,6 +12,7 @@ from answerloom.llm.extraction import extract_pages
 from answerloom.llm.importance import importance_resample
 from answerloom.llm.kdtree import exact_topk, integer_vectors
 from answerloom.llm.lines import dedup_lines
+from answerloom.llm.minhash import near_duplicates
 from answerloom.llm.mixing import mix_plan, word_count
 from answerloom.llm.rules import cascade
 from answerloom.llm.sharding import histogram_shards, text_keys, text_size
@@ -38,6 +39,12 @@ def op1_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document; a class is a connected group of near-duplicates."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs).drop("node")
+
+
 def op3_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text without lines that occur elsewhere, exactly or nearly."""
     return dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -116,6 +123,7 @@ def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_histogram_sort": op1_histogram_sort,
+    "op2_weighted_minhash": op2_weighted_minhash,
     "op3_fuzzy_lines": op3_fuzzy_lines,
     "op4_content_archive": op4_content_archive,
     "op5_cube_mix": op5_cube_mix,
