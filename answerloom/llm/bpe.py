@@ -13,6 +13,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from answerloom.llm.frames import fresh
+
 #: Bytes of different words that one recursive query contracts together.
 WORD_BYTES = 200_000
 #: Rows that one recursive query may pile up; longer words go through several queries.
@@ -242,21 +244,22 @@ def decoder(blob: bytes, pattern: str):
     return decode
 
 
-def encode_texts(docs: DataFrame, blob: bytes, pattern: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
-    """``docs`` with its texts' packed token ids in column ``ids`` (which must be new)."""
-    _must_be_new(docs, ids)
+def encode_texts(docs: DataFrame, blob: bytes, pattern: str, text: str = "text") -> DataFrame:
+    """``docs`` with its texts' packed token ids as last column, ``token_ids``.
+
+    A name that is taken gets a leading underscore.
+    """
+    (ids,) = fresh(docs, "token_ids")
     return docs.withColumn(ids, encoder(blob, pattern)(F.col(text).cast("string")))
 
 
-def decode_ids(docs: DataFrame, blob: bytes, pattern: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
-    """``docs`` with the bytes of its packed token ids in column ``out`` (which must be new)."""
-    _must_be_new(docs, out)
-    return docs.withColumn(out, decoder(blob, pattern)(F.col(ids)))
+def decode_ids(docs: DataFrame, blob: bytes, pattern: str, ids: str = "token_ids") -> DataFrame:
+    """``docs`` with the bytes of its packed token ids as last column, ``decoded``.
 
-
-def _must_be_new(docs: DataFrame, name: str) -> None:
-    if name.lower() in {c.lower() for c in docs.columns}:
-        raise ValueError(f"column {name} exists; choose another name for the result")
+    A name that is taken gets a leading underscore.
+    """
+    (out,) = fresh(docs, "decoded")
+    return docs.withColumn(out, decoder(blob, pattern)(F.col(ids)))
 
 
 def token_count(ids: str) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from answerloom.llm.crf import Crf, train
+from answerloom.llm.frames import fresh
 from answerloom.llm.pages import features, leaf_blocks
 
 #: Pages that the model is trained on, at most.
@@ -125,17 +126,16 @@ def extract_pages(
     pages: DataFrame,
     page_id: str = "page_id",
     body: str = "html",
-    text: str = "text",
     training_pages: int = TRAINING_PAGES,
 ) -> DataFrame:
-    """``pages`` with the main text of the whole page in column ``text`` (which must be new).
+    """``pages`` with the main text of the whole page as last column, ``text``.
 
     The model is trained on at most ``training_pages`` pages with an article element, picked by a hash of
     id and content; every page is then parsed and decoded whole.  Null and empty pages, and pages
-    without main text, give an empty text.  Equal pages give equal texts.
+    without main text, give an empty text.  Equal pages give equal texts.  A name that is taken
+    gets a leading underscore.
     """
-    if text.lower() in {c.lower() for c in pages.columns}:
-        raise ValueError(f"column {text} exists; choose another name for the result")
+    (text,) = fresh(pages, "text")
     whole = F.col(body).cast("string")
     sample = (
         pages.where(whole.contains("<article"))

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from answerloom.llm.frames import let, text_of, whole_row
+from answerloom.llm.frames import fresh, let, text_of, whole_row
 from answerloom.llm.splitters import find_cuts
 from answerloom.sources.staging import stage
 
@@ -94,7 +94,8 @@ def importance_resample(
     k: int | None = None,
     seed: int = 42,
 ) -> DataFrame:
-    """``docs`` with ``log_weight``, ``gumbel_score`` and ``kept``; new names must be free.
+    """``docs`` with ``log_weight``, ``gumbel_score`` and ``kept`` (a name that is taken gets a
+    leading underscore).
 
     ``labels`` has doc_id and quality (1 good, 0 bad; optional toxic).  The raw model and all scores
     cover every document.  The target model and the threshold use at most about
@@ -105,10 +106,7 @@ def importance_resample(
     and repeated rows share their fate.  Documents without a token (null or empty) are
     never kept.  Without labels of both kinds every document with a token is kept.
     """
-    new = ["log_weight", "gumbel_score", "kept"]
-    clash = sorted({c.lower() for c in docs.columns} & set(new))
-    if clash:
-        raise ValueError(f"columns {clash} exist; rename them first")
+    names = fresh(docs, "log_weight", "gumbel_score", "kept")
     toxic = F.coalesce(F.col("toxic"), F.lit(0)) if "toxic" in labels.columns else F.lit(0)
     marks = (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
@@ -179,7 +177,7 @@ def importance_resample(
     )
     return cuts.place(scored.withColumns(keys), "piece").select(
         "row.*",
-        "log_weight",
-        (F.col("log_weight") + F.col("noise")).alias("gumbel_score"),
-        (F.col("has") & (F.col("piece") == 0)).alias("kept"),
+        F.col("log_weight").alias(names[0]),
+        (F.col("log_weight") + F.col("noise")).alias(names[1]),
+        (F.col("has") & (F.col("piece") == 0)).alias(names[2]),
     )

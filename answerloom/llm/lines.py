@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from answerloom.llm.frames import let, text_of, whole_row
+from answerloom.llm.frames import fresh, let, text_of, whole_row
 from answerloom.llm.groups import connect, only_possible
 from answerloom.sources.staging import stage
 
@@ -126,11 +126,9 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     a text.  Lines without letters or digits stay as they are.  Rows with the same id and
     text count as one document and keep the same lines.  A null text stays null, an empty
     one empty; a text that loses all lines becomes empty.  All rows and other columns
-    stay; the two new names must be free.
+    stay; a new name that is taken gets a leading underscore.
     """
-    clash = sorted({c.lower() for c in docs.columns} & {"n_lines", "n_dropped"})
-    if clash:
-        raise ValueError(f"columns {clash} exist; rename them first")
+    n_lines, n_dropped = fresh(docs, "n_lines", "n_dropped")
     body = text_of(text)
     ident = F.col(doc_id).cast("bigint")
     row = F.xxhash64(F.coalesce(ident, F.lit(-1)), F.isnull(ident).cast("int"), F.xxhash64(body))
@@ -174,6 +172,6 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     new = F.when(some, F.array_join(kept, "\n")).otherwise(F.col(f"doc.`{text}`"))
     return out.select(
         *[new.alias(c) if c == text else F.col(f"doc.`{c}`") for c in docs.columns],
-        F.size(lines_of).alias("n_lines"),
-        F.when(some, F.size("drop")).otherwise(0).alias("n_dropped"),
+        F.size(lines_of).alias(n_lines),
+        F.when(some, F.size("drop")).otherwise(0).alias(n_dropped),
     )

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from answerloom.llm.frames import let, text_of, whole_row
+from answerloom.llm.frames import fresh, let, text_of, whole_row
 from answerloom.sources.staging import stage
 
 SYMBOLS = "#*$%&|<>"
@@ -140,18 +140,17 @@ def cascade(
     sample_rows: int = 2000,
     seed: int = 42,
 ) -> DataFrame:
-    """``docs`` with the base columns, ``base_failed`` and ``kept``; new names must be free.
+    """``docs`` with the base columns, ``base_failed`` and ``kept``.
 
     A text is kept if it passes the base test and every rule.  The rules run one after the other and
     stop at the first that rejects; their order comes from costs and rejections on a
     sample of about ``sample_rows`` rows and does not change the verdict.  A null text
-    has no words, so it fails the base test.  Whole texts of any length are used.
+    has no words, so it fails the base test.  A new name that is taken gets a leading
+    underscore.  Whole texts of any length are used.
     """
     rules = list(default_rules() if rules is None else rules)
     new = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    clash = sorted({c.lower() for c in docs.columns} & set(new))
-    if clash:
-        raise ValueError(f"columns {clash} exist; rename them first")
+    names = fresh(docs, *new)
 
     def with_base(df: DataFrame) -> DataFrame:
         split = df.withColumn("words", words_of(F.col("body")))
@@ -169,5 +168,5 @@ def cascade(
         with_base(bodies)
         .withColumn("base_failed", base_failed())
         .withColumn("kept", verdict.otherwise(True))
-        .select("row.*", *new)
+        .select("row.*", *[F.col(c).alias(n) for c, n in zip(new, names, strict=True)])
     )
