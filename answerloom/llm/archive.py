@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +28,6 @@ def write_archive(
     body: str = "html",
     min_bytes: int = 0,
     date: str = "2024-01-01T00:00:00Z",
-    buckets: int | None = None,
 ) -> None:
     """Write one WARC record per row below ``path``.
 
@@ -42,8 +39,6 @@ def write_archive(
     null body is an empty payload and a null url an empty target.  Two payloads of one
     digest that differ in length or SHA-1 stop the write.  Other columns play no part.
     """
-    spark = records.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     payload = F.coalesce(F.col(body).cast("string"), F.lit("")).cast("binary")
     rows = records.select(
         F.col(record_id).alias("record_id"),
@@ -81,7 +76,7 @@ def write_archive(
             "copies",
         )
     )
-    _bucketed(stored.repartition(buckets, "address"), f"{path}/payloads", buckets)
+    stored.write.parquet(f"{path}/payloads")
 
     firsts = keys.groupBy("address").agg(
         F.min("record_id").alias("first_id"), F.count(F.lit(1)).alias("copies")
@@ -118,16 +113,6 @@ def write_archive(
     ).write.parquet(f"{path}/headers")
 
 
-def _bucketed(df: DataFrame, path: str, buckets: int) -> None:
-    """Write by digest, so that reading back needs no exchange of the payloads."""
-    table = f"archive_{uuid.uuid4().hex}"
-    df.write.format("parquet").option("path", path).bucketBy(buckets, "address").saveAsTable(table)
-    _TABLES[path] = table
-
-
-_TABLES: dict[str, str] = {}
-
-
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """(record_id, header, payload, record) of every record, ``record`` being its bytes.
 
@@ -135,7 +120,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     does not match stops the read.  Payloads of many records are copied in salted parts,
     so that no task puts together more than about ``COPIES`` records of one payload.
     """
-    stored = spark.table(_TABLES[path]) if path in _TABLES else spark.read.parquet(f"{path}/payloads")
+    stored = spark.read.parquet(f"{path}/payloads")
     headers = spark.read.parquet(f"{path}/headers")
     few, many = F.col("copies") <= COPIES, F.col("copies") > COPIES
     parts = F.floor((F.col("copies") - 1) / COPIES) + 1
