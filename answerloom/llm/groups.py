@@ -13,8 +13,10 @@ from answerloom.sources.staging import stage
 _FILTER_BITS = 1 << 25
 
 
-def only_possible(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose ``key`` may be in column ``key`` of ``keys``.
+def only_possible(
+    df: DataFrame, key: str, keys: DataFrame, surely_not: bool = False
+) -> DataFrame:
+    """Rows of ``df`` whose ``key`` may be in column ``key`` of ``keys``, or all other rows.
 
     A bitmap of fixed size over hashes goes to every task; rows that cannot have a partner
     leave before a shuffle.  Others may pass by chance, so an exact join must follow.
@@ -29,14 +31,15 @@ def only_possible(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     byte = F.conv(
         F.hex(F.substring(F.col("_bits"), F.shiftright(place, 3) + 1, F.lit(1))), 16, 10
     ).cast("int")
+    hit = F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(place, F.lit(8)))), F.lit(2)) == 1
     # at most 1,024 rows of 4 KB
-    return (
+    marked = (
         df.withColumn("_x", spot)
         .withColumn("_part", F.bitmap_bucket_number("_x"))
-        .join(F.broadcast(bits), "_part")
-        .where(F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(place, F.lit(8)))), F.lit(2)) == 1)
-        .drop("_x", "_part", "_bits")
+        .join(F.broadcast(bits), "_part", "left" if surely_not else "inner")
     )
+    chosen = ~F.coalesce(hit, F.lit(False)) if surely_not else hit
+    return marked.where(chosen).drop("_x", "_part", "_bits")
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -17,9 +17,12 @@ DISTANCE = 3
 SIMILARITY = 0.8
 #: Widths of the blocks of a SimHash.  DISTANCE wrong bits leave two of five blocks whole.
 _BLOCKS = (13, 13, 13, 13, 12)
-#: 16 counters of 4 lanes of 16 bits; so many words cannot overflow a lane.
-_CHUNK = 32767
+#: Sixteen counters of four lanes of 16 bits; a line of so many words cannot overflow one.
+_FEW = 32767
 _LANES = 0x0001000100010001
+#: The same in eight lanes of 8 bits, for parts of longer lines.
+_CHUNK = 127
+_NARROW = 0x0101010101010101
 
 
 def normalised(line: Column) -> Column:
@@ -31,47 +34,70 @@ def simhash(line: Column) -> Column:
     """64-bit SimHash of a normalised line's words: bit ``i`` is set if more than half of
     the words' xxhash64 values have it set."""
 
-    def lanes(words: Column) -> Column:
+    each = range(8)
+
+    def lanes(hashes: Column) -> Column:
+        zero = F.struct(*[F.lit(0).cast("bigint").alias(f"c{i}") for i in each])
         return F.aggregate(
-            words,
-            F.array_repeat(F.lit(0).cast("bigint"), 16),
-            lambda acc, w: let(
-                F.xxhash64(w),
-                lambda h: F.transform(
-                    acc,
-                    lambda x, i: x + F.call_function("shiftrightunsigned", h, i).bitwiseAND(F.lit(_LANES)),
-                ),
+            hashes,
+            zero,
+            lambda acc, h: F.struct(
+                *[
+                    (acc[f"c{i}"] + F.shiftrightunsigned(h, i).bitwiseAND(F.lit(_NARROW))).alias(f"c{i}")
+                    for i in each
+                ]
             ),
         )
 
-    def bits(words: Column) -> Column:
+    def bits(hashes: Column) -> Column:
         chunks = F.transform(
-            F.sequence(F.lit(0), F.floor((F.size(words) - 1) / _CHUNK).cast("int")),
-            lambda c: lanes(F.slice(words, c * _CHUNK + 1, F.lit(_CHUNK))),
-        )
-        return let(
-            chunks,
-            lambda parts: F.aggregate(
-                F.sequence(F.lit(0), F.lit(63)),
-                F.lit(0).cast("bigint"),
-                lambda acc, b: acc
-                + F.when(
-                    2
-                    * F.aggregate(
-                        parts,
-                        F.lit(0).cast("bigint"),
-                        lambda n, p: n
-                        + F.call_function(
-                            "shiftrightunsigned", F.get(p, F.pmod(b, F.lit(16))), 16 * F.floor(b / 16).cast("int")
-                        ).bitwiseAND(F.lit(0xFFFF)),
-                    )
-                    > F.size(words),
-                    F.call_function("shiftleft", F.lit(1).cast("bigint"), b),
-                ).otherwise(F.lit(0).cast("bigint")),
-            ),
+            F.sequence(F.lit(0), F.floor((F.size(hashes) - 1) / _CHUNK).cast("int")),
+            lambda c: lanes(F.slice(hashes, c * _CHUNK + 1, F.lit(_CHUNK))),
         )
 
-    return let(F.split(line, " "), bits)
+        def code(parts: Column) -> Column:
+            def votes_for(b: int) -> Column:
+                return F.aggregate(
+                    parts,
+                    F.lit(0).cast("bigint"),
+                    lambda n, p: n
+                    + F.shiftrightunsigned(p[f"c{b % 8}"], b - b % 8).bitwiseAND(F.lit(0xFF)),
+                )
+
+            out = F.lit(0).cast("bigint")
+            for b in range(64):
+                votes = votes_for(b)
+                set_bit = F.lit(-(1 << 63) if b == 63 else 1 << b).cast("bigint")
+                out = out.bitwiseOR(F.when(2 * votes > F.size(hashes), set_bit).otherwise(F.lit(0).cast("bigint")))
+            return out
+
+        return let(chunks, code)
+
+    return let(F.transform(F.split(line, " "), lambda w: F.xxhash64(w)), bits)
+
+
+def _codes(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys`` and SimHash ``code`` of each row's ``line`` (the keys tell rows apart).
+
+    The same value as :func:`simhash`, by sums over exploded words, which Spark compiles.
+    """
+    words = lines.select(*keys, F.split("line", " ").alias("w"))
+    votes = [
+        F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(_LANES))).alias(f"c{i}") for i in range(16)
+    ]
+    summed = (
+        words.select(*keys, F.explode(F.when(F.size("w") <= _FEW, F.col("w"))).alias("w"))
+        .where("w <> ''")
+        .withColumn("h", F.xxhash64("w"))
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("n"), *votes)
+    )
+    code = F.lit(0).cast("bigint")
+    for b in range(64):
+        count = F.shiftrightunsigned(f"c{b % 16}", b - b % 16).bitwiseAND(F.lit(0xFFFF))
+        bit = F.lit(-(1 << 63) if b == 63 else 1 << b).cast("bigint")
+        code = code.bitwiseOR(F.when(2 * count > F.col("n"), bit).otherwise(F.lit(0).cast("bigint")))
+    return summed.select(*keys, code.alias("code"))
 
 
 def block_keys(code: Column) -> Column:
@@ -87,6 +113,45 @@ def block_keys(code: Column) -> Column:
     return F.array(*keys)
 
 
+def _common_prefix(a: Column, b: Column) -> Column:
+    """Length of the common prefix, by steps of halving length."""
+    steps = F.sequence(F.lit(30), F.lit(0), F.lit(-1))
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda n, k: let(
+            F.call_function("shiftleft", F.lit(1), k),
+            lambda step: F.when(
+                (n + step <= F.least(F.length(a), F.length(b)))
+                & (F.substring(a, n + 1, step) == F.substring(b, n + 1, step)),
+                n + step,
+            ).otherwise(n),
+        ),
+    )
+
+
+def _middles(a: Column, b: Column) -> tuple[Column, Column]:
+    """Both texts less their common prefix and suffix; their edit distance is the same."""
+
+    def cut(x: Column, n: Column) -> Column:
+        return F.substring(x, n + 1, F.length(x))
+
+    pair = let(
+        _common_prefix(a, b), lambda n: F.struct(cut(a, n).alias("a"), cut(b, n).alias("b"))
+    )
+    back = let(
+        pair,
+        lambda p: let(
+            F.struct(F.reverse(p["a"]).alias("a"), F.reverse(p["b"]).alias("b")),
+            lambda r: let(
+                _common_prefix(r["a"], r["b"]),
+                lambda n: F.struct(cut(r["a"], n).alias("a"), cut(r["b"], n).alias("b")),
+            ),
+        ),
+    )
+    return back["a"], back["b"]
+
+
 def alike(pairs: DataFrame, codes: DataFrame, lines: DataFrame) -> DataFrame:
     """Rows of (a, b) whose lines are alike.
 
@@ -103,7 +168,7 @@ def alike(pairs: DataFrame, codes: DataFrame, lines: DataFrame) -> DataFrame:
     nodes = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = stage(
         only_possible(lines, "node", nodes)
-        .join(nodes, "node", "left_semi")
+        .join(nodes, "node")  # a semi-join would go below the filter
         .groupBy("node")
         .agg(F.first("line").alias("line")),
         "near-lines",
@@ -111,7 +176,7 @@ def alike(pairs: DataFrame, codes: DataFrame, lines: DataFrame) -> DataFrame:
     x, y = (texts.select(F.col("node").alias(k), F.col("line").alias(f"l{k}")) for k in "ab")
     longer = F.greatest(F.length("la"), F.length("lb"))
     shorter = F.least(F.length("la"), F.length("lb"))
-    edits = F.levenshtein("la", "lb")
+    edits = F.levenshtein(*_middles(F.col("la"), F.col("lb")))
     # edits are at least the difference in length, so lengths too far apart need no count
     close = F.when(shorter < SIMILARITY * longer, False).otherwise(edits <= (1 - SIMILARITY) * longer)
     return near.join(x, "a").join(y, "b").where(close).select("a", "b")
@@ -132,13 +197,23 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     body = text_of(text)
     ident = F.col(doc_id).cast("bigint")
     row = F.xxhash64(F.coalesce(ident, F.lit(-1)), F.isnull(ident).cast("int"), F.xxhash64(body))
-    split = docs.select(
-        ident.alias("id"), row.alias("row"), F.posexplode(F.split(body, "\n")).alias("number", "raw")
-    ).withColumn("line", normalised(F.col("raw"))).where("line <> ''")
-    marked = split.withColumn("node", F.xxhash64("line", F.lit(11)))
-    places = stage(
-        marked.select("id", "row", "number", "node", simhash(F.col("line")).alias("code")), "line-places"
+    keys = ["id", "row", "number", "node"]
+
+    def lines_with_words(rows: DataFrame) -> DataFrame:
+        split = rows.select(
+            ident.alias("id"), row.alias("row"), F.posexplode(F.split(body, "\n")).alias("number", "raw")
+        ).withColumn("line", normalised(F.col("raw")))
+        return split.select("id", "row", "number", F.xxhash64("line", F.lit(11)).alias("node"), "line")
+
+    marked = lines_with_words(docs)
+    # a line of more than _FEW words has more than twice as many characters
+    giant = lines_with_words(docs.where(F.length(body) > 2 * _FEW)).where(
+        F.size(F.split("line", " ")) > _FEW
+    )
+    places = _codes(marked, keys).unionByName(
+        giant.select(*keys, simhash(F.col("line")).alias("code"))
     )
+    places = stage(places, "line-places")
     unique = stage(
         places.groupBy("node").agg(
             F.min(F.struct("id", "row", "number")).alias("first"),
@@ -165,8 +240,13 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     )
     lines_of = F.split(F.col("body"), "\n")
     kept = F.filter(lines_of, lambda x, i: ~F.array_contains("drop", i))
-    out = docs.select(whole_row(docs).alias("doc"), row.alias("row"), body.alias("body")).join(
-        drops, "row", "left"
+    drops = stage(drops, "line-drops")
+    packed = docs.select(whole_row(docs).alias("doc"), row.alias("row"), body.alias("body"))
+    # texts that surely keep all lines need not move
+    out = only_possible(packed, "row", drops).join(drops, "row", "left").unionByName(
+        only_possible(packed, "row", drops, surely_not=True).withColumn(
+            "drop", F.lit(None).cast("array<int>")
+        )
     )
     some = F.col("drop").isNotNull()
     new = F.when(some, F.array_join(kept, "\n")).otherwise(F.col(f"doc.`{text}`"))

@@ -232,7 +232,7 @@ def near_duplicates(
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         texts = stage(
             only_possible(source.select("node", "body"), "node", nodes)
-            .join(nodes, "node", "left_semi")
+            .join(nodes, "node")  # a semi-join would go below the filter
             .groupBy("node")
             .agg(F.first("body").alias("body")),
             "near-texts",
