@@ -16,22 +16,38 @@ IGNORED = -100  # label value the loss skips
 MAX_INPUT, MAX_TARGET = 256, 512
 
 
-def word_vocabulary(texts: DataFrame, column: str, size: int = 30_000) -> DataFrame:
-    """(word, word_id) of the most frequent words; ids from 2, ties in word order.
+#: Words of so few occurrences are many; they are ranked in hash buckets.
+_RARE = 16
 
-    ``size`` bounds the table, so ranking it is one small task.
+
+def word_vocabulary(texts: DataFrame, column: str, size: int | None = None) -> DataFrame:
+    """(word, word_id) of all words, or of the ``size`` most frequent ones; ids from 2.
+
+    Frequent words come first; ties in word order, but for words of at most ``_RARE``
+    occurrences, which tie in the order of their md5.  Ranks inside a bucket of equal
+    counts (and leading hash digits) are shifted by the words of all earlier buckets.
+    There are at most 4,096 buckets for each small count and one for each other count.
     """
-    top = (
+    digest = F.when(F.col("n") <= _RARE, F.md5(F.col("word").cast("binary"))).otherwise("")
+    words = (
         texts.select(F.explode(tokenize_ws(F.col(column))).alias("word"))
         .groupBy("word")
         .agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "word")
-        .limit(size)
+        .withColumn("hash", digest)
+        .withColumn("bucket", F.substring("hash", 1, 3))
+    )
+    earlier = Window.partitionBy(F.lit(1)).orderBy(F.desc("n"), "bucket")
+    starts = (
+        words.groupBy("n", "bucket")
+        .agg(F.count("*").alias("k"))
+        .select("n", "bucket", (F.sum("k").over(earlier) - F.col("k")).alias("start"))
     )
-    order = Window.partitionBy(F.lit(1)).orderBy(F.desc("n"), "word")
-    return top.select(
-        "word", (F.row_number().over(order) + UNKNOWN).cast("int").alias("word_id")
+    inside = Window.partitionBy("n", "bucket").orderBy("hash", "word")
+    rank = F.col("start") + F.row_number().over(inside)
+    ranked = words.join(starts, ["n", "bucket"]).select(
+        "word", (rank + UNKNOWN).cast("int").alias("word_id")
     )
+    return ranked if size is None else ranked.where(F.col("word_id") <= size + UNKNOWN)
 
 
 def encode_examples(

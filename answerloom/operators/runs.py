@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from answerloom.functions.arrays import records
 from answerloom.names import SUBSET
+from answerloom.sources.staging import stage
 
 # Settings every run derives from its own name.
 DERIVED = ["notes", "output_dir", "run_name", "submission_path"]
@@ -62,9 +63,9 @@ def resolve_configs(base: DataFrame, runs: DataFrame, overrides: DataFrame) -> D
 def require_known_keys(base: DataFrame, overrides: DataFrame) -> None:
     """Raise when an override names a setting that ``base`` does not have."""
     unknown = overrides.join(base.select("key"), "key", "left_anti").select("key").distinct()
-    names = sorted(r["key"] for r in unknown.limit(20).collect())
+    names = [r["key"] for r in unknown.orderBy("key").limit(20).collect()]
     if names:
-        raise ValueError(f"unknown settings: {names}")
+        raise ValueError(f"{unknown.count()} unknown settings, among them {names}")
 
 
 def changed_fields(base: DataFrame, resolved: DataFrame, runs: DataFrame) -> DataFrame:
@@ -130,32 +131,58 @@ def runs_by_subset(log: DataFrame) -> DataFrame:
 def rank_runs(log: DataFrame) -> DataFrame:
     """Add ``rank`` by combined score, best first; equal scores share a rank.
 
-    The rank of a score is one plus the runs above it, counted over distinct
-    scores, so the log itself is never sorted in one task.
+    A run without a score (null or NaN) ranks after all others.  The rank of a score is one
+    plus the runs above it.  Distinct scores are dealt to ranges; inside a range they are
+    counted by window, across ranges over one row each, so nothing is sorted in one task.
     """
-    scores = log.groupBy("combined").agg(F.count("*").alias("n"))
-    above = Window.partitionBy(F.lit(1)).orderBy(F.desc("combined"))
-    ranks = scores.select(
-        "combined", (F.sum("n").over(above) - F.col("n") + 1).alias("rank")
+    score = F.col("combined").cast("double")
+    keyed = log.withColumn("_score", F.nanvl(score, F.lit(None).cast("double")))
+    scores = (
+        keyed.groupBy("_score")
+        .agg(F.count("*").alias("n"))
+        .repartitionByRange(F.desc_nulls_last("_score"))
+        .withColumn("part", F.spark_partition_id())
     )
-    return log.join(ranks, "combined").select(*log.columns, "rank")
+    scores = stage(scores, "scores")
+    parts = scores.groupBy("part").agg(F.sum("n").alias("n"))
+    earlier = Window.partitionBy(F.lit(1)).orderBy("part")
+    starts = parts.select("part", (F.sum("n").over(earlier) - F.col("n")).alias("start"))
+    above = Window.partitionBy("part").orderBy(F.desc_nulls_last("_score"))
+    ranks = scores.join(starts, "part").select(
+        F.col("_score").alias("_other"),
+        (F.col("start") + F.sum("n").over(above) - F.col("n") + 1).alias("rank"),
+    )
+    return keyed.join(ranks, F.col("_score").eqNullSafe(F.col("_other"))).select(*log.columns, "rank")
+
+
+def _real(metric: str, greater: bool = True) -> Column:
+    """The metric, so that greater is better; NaN is no value."""
+    value = F.nanvl(F.col(metric).cast("double"), F.lit(None).cast("double"))
+    return value if greater else -value
 
 
-def best_checkpoint(history: DataFrame) -> DataFrame:
-    """(run, best_epoch, best_metric); greater is better, earliest epoch on ties."""
-    top = F.max(F.struct(F.col("metric"), (-F.col("epoch")).alias("neg")))
-    return history.groupBy("run").agg(top.alias("t")).select(
-        "run", (-F.col("t.neg")).alias("best_epoch"), F.col("t.metric").alias("best_metric")
+def best_checkpoint(history: DataFrame, greater: bool = True) -> DataFrame:
+    """(run, best_epoch, best_metric); earliest epoch on ties.
+
+    ``greater`` false takes the smallest metric.  Epochs whose metric is null or NaN are
+    no candidates; a run of such epochs only has nulls.
+    """
+    known = F.when(F.col("m").isNotNull(), F.struct("m", (-F.col("epoch")).alias("neg"), "metric"))
+    return (
+        history.withColumn("m", _real("metric", greater))
+        .groupBy("run")
+        .agg(F.max(known).alias("t"))
+        .select("run", (-F.col("t.neg")).alias("best_epoch"), F.col("t.metric").alias("best_metric"))
     )
 
 
 def early_stop_epoch(
-    history: DataFrame, patience: int = 2, block: int = 50_000
+    history: DataFrame, patience: int = 2, block: int = 50_000, greater: bool = True
 ) -> DataFrame:
     """(run, stop_epoch): first epoch ending ``patience`` evaluations in a row that
     do not beat the best so far; null when training runs on.
 
-    ``history`` is (run, integer epoch, metric). A run is worked off in blocks of
+    ``history`` is (run, integer epoch, metric); a null or NaN metric beats nothing. A run is worked off in blocks of
     epochs: inside a block by window, across blocks over one summary row each, so
     a run of any length never lands in one task.
     """
@@ -168,7 +195,9 @@ def early_stop_epoch(
     earlier_rows = inside.rowsBetween(Window.unboundedPreceding, -1)
     rows_so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    placed = history.withColumn("block", F.floor(F.col("epoch") / block))
+    placed = history.withColumns(
+        {"block": F.floor(F.col("epoch") / block), "metric": _real("metric", greater)}
+    )
     best = placed.groupBy("run", "block").agg(F.max("metric").alias("m"))
     best = best.select("run", "block", F.max("m").over(earlier_blocks).alias("best"))
     before = F.greatest("best", F.max("metric").over(earlier_rows))
@@ -176,7 +205,11 @@ def early_stop_epoch(
     judged = (
         placed.join(best, ["run", "block"])
         .withColumn("before", before)
-        .withColumn("better", F.col("before").isNull() | (F.col("metric") > F.col("before")))
+        .withColumn(
+            "better",
+            F.col("metric").isNotNull()
+            & (F.col("before").isNull() | (F.col("metric") > F.col("before"))),
+        )
         .withColumn("nth", F.row_number().over(inside))
         .withColumn("last", F.max(F.when(F.col("better"), F.col("nth"))).over(rows_so_far))
         .withColumn("misses", F.col("nth") - F.coalesce("last", F.lit(0)))

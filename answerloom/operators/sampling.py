@@ -167,6 +167,8 @@ def oversample_subsets(
     df: DataFrame, subsets: Sequence[str] = LOW_RESOURCE, weight: int = 2
 ) -> DataFrame:
     """Every row once, rows of ``subsets`` ``weight`` times, told apart by ``copy_no``."""
+    if weight < 1:
+        raise ValueError("weight must be at least 1")
     copies = F.when(F.col(SUBSET).isin(*subsets), F.lit(int(weight))).otherwise(1)
     return df.withColumn("copy_no", F.explode(F.sequence(F.lit(1), copies)))
 

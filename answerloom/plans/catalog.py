@@ -20,7 +20,7 @@ from answerloom.functions.text import (
     sentinel_delete,
     tokenize_ws,
 )
-from answerloom.names import ANSWER, ID, QUESTION, SUBSET
+from answerloom.names import ANSWER, ID, QUESTION, SUBMISSION_COLUMNS, SUBSET
 from answerloom.operators import corpus, encoding, predict, retrieval, runs, sampling
 from answerloom.operators import scoring, stats, submission
 from answerloom.plans.corpora import (
@@ -136,11 +136,12 @@ def _write_splits(spark: SparkSession, sf_dir: str) -> str:
     rows = _csv_rows(spark, sf_dir)
     ten = F.col("doc_id") % 10
     test = rows.where(ten == 9)
-    tables.write_csv(rows.where(ten < 8).select(*QA), f"{folder}/Train.csv")
+    # columns are found by name, in any order
+    tables.write_csv(rows.where(ten < 8).select(*QA[::-1]), f"{folder}/Train.csv")
     tables.write_csv(rows.where(ten == 8).select(*QA), f"{folder}/Val.csv")
     tables.write_csv(test.select(ID, QUESTION, SUBSET), f"{folder}/Test.csv")
     blank = test.select(
-        ID, *[F.lit("?").alias(c) for c in ("TargetRLF1", "TargetR1F1", "TargetLLM")]
+        ID, *[F.lit("?").alias(c) for c in SUBMISSION_COLUMNS[1:]]
     )
     tables.write_csv(blank, f"{folder}/SampleSubmission.csv")
     return folder
@@ -149,7 +150,7 @@ def _write_splits(spark: SparkSession, sf_dir: str) -> str:
 @query
 def load_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "train-csv")
-    tables.write_csv(_csv_rows(spark, sf_dir).select(*QA), path)
+    tables.write_csv(_csv_rows(spark, sf_dir).select(SUBSET, QUESTION, "doc_id", ANSWER, ID), path)
     return tables.load_split(spark, path)
 
 
@@ -165,16 +166,11 @@ def load_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dataset_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    widths = {"train": 4, "val": 4, "test": 3}
+    parts = tables.load_all(spark, _write_splits(spark, sf_dir))
+    widths = {name: len(parts[name].columns) for name in ("train", "val", "test")}
     return stats.dataset_shapes(documents_qa(spark, sf_dir), widths)
 
 
-@query
-def file_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wanted = [f"{n}.parquet" for n in ("documents", "conversations", "events", "answers")]
-    return tables.file_audit(spark, sf_dir, wanted)
-
-
 @query
 def submission_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "submission")
@@ -514,7 +510,7 @@ def evaluate_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = corpus.training_pairs(_qa(spark, sf_dir), languages=DEMO_LANGUAGES)
     both = pairs.select(F.concat_ws(" ", "prompt", "answer").alias("text"))
-    words = stage(encoding.word_vocabulary(both, "text", 5000), "vocabulary")
+    words = stage(encoding.word_vocabulary(both, "text"), "vocabulary")
     return encoding.encode_examples(pairs, words)
 
 
@@ -612,11 +608,18 @@ def runs_by_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run per user; some have no score, some share one."""
     run = F.concat(F.lit("run_"), F.col("user_id").cast("string"))
+    best = F.max("value")
+    combined = (
+        F.when(F.max("user_id") % 97 == 0, None)
+        .when(F.max("user_id") % 5 == 0, F.floor(best).cast("double"))
+        .otherwise(best)
+    )
     return table(spark, sf_dir, "events").groupBy(run.alias("key")).agg(
         F.max("value").alias("rouge1_f1"),
         F.min("value").alias("rougeL_f1"),
-        F.floor(F.max("value")).alias("combined"),
+        combined.alias("combined"),
     )
 
 
@@ -628,7 +631,7 @@ def rank_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def leaderboard_progression(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "progression")
-    rows = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    rows = table(spark, sf_dir, "events")
     key = F.concat(F.lit("run_"), F.col("user_id").cast("string"))
     scores = {
         "public_rougeL": F.when(F.col("event_id") % 2 == 0, F.col("value")),
@@ -636,7 +639,7 @@ def leaderboard_progression(spark: SparkSession, sf_dir: str) -> DataFrame:
         "public_llm": F.lit(None).cast("double"),
     }
     made = rows.select(
-        F.col("event_id").cast("int").alias("submission"),
+        F.col("event_id").cast("bigint").alias("submission"),
         F.date_format("ts", "yyyy-MM-dd").alias("date"),
         key.alias("experiment_key"),
         F.col("props").alias("description"),
@@ -644,13 +647,18 @@ def leaderboard_progression(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("notes"),
     )
     tables.write_csv(made, path)
-    log = _event_runs(spark, sf_dir).where(F.col("combined") > 100)
+    log = _event_runs(spark, sf_dir)
     return runs.leaderboard_progression(tables.load_progression(spark, path), log)
 
 
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    metric = (
+        F.when(F.col("event_id") % 97 == 0, F.lit(float("nan")))
+        .when(F.col("event_id") % 89 == 0, None)
+        .otherwise(F.col("value"))
+    )
     return table(spark, sf_dir, "events").select(
-        F.col("user_id").alias("run"), F.col("event_id").alias("epoch"), F.col("value").alias("metric")
+        F.col("user_id").alias("run"), F.col("event_id").alias("epoch"), metric.alias("metric")
     )
 
 

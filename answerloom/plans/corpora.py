@@ -42,7 +42,7 @@ def _generation(answer: Column, turn: Column) -> Column:
 def documents_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, ID, input, output, subset), not cleaned."""
     region = F.when(
-        F.substring("source", 4, 9).cast("int") % 2 == 0, F.lit("Aaa")
+        F.expr("substr(source, 4)").cast("int") % 2 == 0, F.lit("Aaa")
     ).otherwise(F.lit("Bbb"))
     first = F.substring_index("text", "\n", 1)
     return documents(spark, sf_dir).select(
@@ -51,7 +51,7 @@ def documents_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         first.alias("input"),
         F.col("text").substr(F.length(first) + 1, F.length("text")).alias("output"),
         F.concat(
-            F.upper(F.substring("lang", 1, 1)), F.substring("lang", 2, 9), F.lit("_"), region
+            F.upper(F.substring("lang", 1, 1)), F.expr("substr(lang, 2)"), F.lit("_"), region
         ).alias("subset"),
     )
 

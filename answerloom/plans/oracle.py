@@ -233,8 +233,8 @@ def _generated(prompt: str) -> str:
 
 def _encoded() -> str:
     return f"""{QA}, ex as (select ID, string_split(concat({language('subset')},': ',input),' ') as pw, string_split(output,' ') as aw from qa),
-vocab as (select w, row_number() over (order by n desc, w)+1 as wid from (
- select w, count(*) as n from (select unnest(list_concat(pw,aw)) as w from ex) group by 1 order by n desc, w limit 5000)),
+vocab as (select w, row_number() over (order by n desc, case when n<=16 then md5(w) else '' end, w)+1 as wid from (
+ select w, count(*) as n from (select unnest(list_concat(pw,aw)) as w from ex) group by 1)),
 iw as (select ID, list(coalesce(wid,1)::int order by i) as input_ids from
  (select ID, unnest(pw[1:256]) as w, unnest(range(0,len(pw[1:256]))) as i from ex) left join vocab using (w) group by 1),
 tw as (select ID, list(coalesce(wid,1)::int order by i) as labels from
@@ -269,7 +269,7 @@ log as (select method as key, concat('Run ',method) as title, 'none' as hypothes
  from overall join maps using (method))"""
 
 EVENT_RUNS = """er as (select concat('run_',user_id) as key, max(value) as rouge1_f1, min(value) as "rougeL_f1",
- cast(floor(max(value)) as bigint) as combined from events group by user_id)"""
+ case when user_id%97=0 then null when user_id%5=0 then floor(max(value)) else max(value) end as combined from events group by user_id)"""
 
 
 def _nulled(c: str) -> str:
@@ -465,16 +465,18 @@ select run, concat('{{',coalesce(j,''),'}}') as changed_fields from named left j
     sql["run_log_append"] = sql["run_log_row"]
     sql["per_subset_json"] = f"{WITH_LCS}{RUNS} select * from maps"
     sql["runs_by_subset"] = f"{WITH_LCS}{RUNS} select method as key, subset, round(combined,4) as combined from parts"
-    sql["rank_runs"] = f"{WITH}{EVENT_RUNS} select key, combined, rank() over (order by combined desc) as rank from er"
-    sql["leaderboard_progression"] = f"""{WITH}{EVENT_RUNS}, p as (select event_id::int as submission, strftime(ts,'%Y-%m-%d') as date,
+    sql["rank_runs"] = f"{WITH}{EVENT_RUNS} select key, combined, rank() over (order by combined desc nulls last) as rank from er"
+    sql["leaderboard_progression"] = f"""{WITH}{EVENT_RUNS}, p as (select event_id as submission, strftime(ts,'%Y-%m-%d') as date,
  concat('run_',user_id) as experiment_key, props as description, case when event_id%2=0 then value end as "public_rougeL",
- case when event_id%3=0 then value end as public_rouge1, null::double as public_llm, event_type as notes from events where event_type='purchase')
-select p.*, rouge1_f1, "rougeL_f1", combined from p left join er on key=experiment_key and combined>100"""
-    sql["best_checkpoint"] = """select user_id as run, event_id as best_epoch, value as best_metric from events
- qualify row_number() over (partition by user_id order by value desc, event_id)=1"""
-    sql["early_stop_epoch"] = """with h as (select user_id as run, event_id as epoch, value as metric,
- max(value) over (partition by user_id order by event_id rows between unbounded preceding and 1 preceding) as best from events),
-i as (select *, count(*) filter (where best is null or metric>best) over (partition by run order by epoch) as island from h),
-m as (select *, row_number() over (partition by run, island order by epoch)-1 as misses from i)
+ case when event_id%3=0 then value end as public_rouge1, null::double as public_llm, event_type as notes from events)
+select p.*, rouge1_f1, "rougeL_f1", combined from p left join er on key=experiment_key"""
+    history = """e as (select user_id, event_id, case when event_id%97=0 or event_id%89=0 then null else value end as value from events)"""
+    sql["best_checkpoint"] = f"""with {history} select user_id as run,
+ case when value is not null then event_id end as best_epoch, value as best_metric from e
+ qualify row_number() over (partition by user_id order by value desc nulls last, event_id)=1"""
+    sql["early_stop_epoch"] = f"""with {history}, h as (select user_id as run, event_id as epoch, value as metric,
+ max(value) over (partition by user_id order by event_id rows between unbounded preceding and 1 preceding) as best from e),
+i as (select *, count(*) filter (where metric is not null and (best is null or metric>best)) over (partition by run order by epoch) as island from h),
+m as (select *, row_number() over (partition by run, island order by epoch)-(island>0)::int as misses from i)
 select run, min(epoch) filter (where misses>=5) as stop_epoch from m group by 1"""
     return sql

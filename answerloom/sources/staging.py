@@ -18,10 +18,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def workspace(spark: SparkSession) -> str:
-    """Shared scratch folder: ``spark.checkpoint.dir``; set here only if unset."""
+    """Shared scratch folder: ``spark.checkpoint.dir``.
+
+    If it is unset, a local session gets a temporary folder; a cluster must name one.
+    """
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     found = conf or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
         found = tempfile.mkdtemp(prefix="answerloom-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from answerloom.names import ANSWER, ID, QUESTION, SUBMISSION_COLUMNS, SUBSET
+from answerloom.names import ANSWER, ID, QUESTION, SUBSET
 from answerloom.operators.corpus import clean_split
 
 # Cell contents that stand for null in a CSV table.
@@ -38,7 +38,7 @@ RUN_LOG = T.StructType(
 
 PROGRESSION = T.StructType(
     [
-        T.StructField("submission", T.IntegerType()),
+        T.StructField("submission", T.LongType()),
         T.StructField("date", T.StringType()),
         T.StructField("experiment_key", T.StringType()),
         T.StructField("description", T.StringType()),
@@ -59,16 +59,41 @@ def null_tokens(c: Column) -> Column:
     return F.when(~c.isin(*NULL_TOKENS), c)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV with quoted newlines and doubled quotes; no type inference."""
+def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Header CSV as it is: all columns strings, in the order of the header.
+
+    Quoted newlines and doubled quotes are read; a malformed row or a part file with
+    another header raises.  One file is one task, as newlines may be quoted; parquet is the
+    format for large tables.
+    """
     return spark.read.csv(
         path,
-        schema=schema,
         header=True,
         multiLine=True,
         quote='"',
         escape='"',
         nullValue=None,
+        enforceSchema=False,
+        mode="FAILFAST",
+    )
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, optional: Sequence[str] = ()
+) -> DataFrame:
+    """Columns of ``schema`` by header name, cast to their types.
+
+    A missing column of ``optional`` is null; any other missing column raises.
+    """
+    raw = read_raw_csv(spark, path)
+    missing = [n for n in schema.names if n not in raw.columns]
+    if set(missing) - set(optional):
+        raise ValueError(f"{path} lacks columns {sorted(set(missing) - set(optional))}")
+    return raw.select(
+        *[
+            (F.lit(None) if f.name in missing else F.col(f"`{f.name}`")).cast(f.dataType).alias(f.name)
+            for f in schema
+        ]
     )
 
 
@@ -90,7 +115,7 @@ def load_split(spark: SparkSession, path: str, has_answer: bool = True) -> DataF
     if path.rstrip("/").endswith(".parquet"):
         raw = spark.read.parquet(path)
         return clean_split(raw.select([c for c in names if c in raw.columns]), has_answer)
-    raw = read_csv(spark, path, _strings(names))
+    raw = read_csv(spark, path, _strings(names), optional=[SUBSET])
     return clean_split(raw.select([null_tokens(F.col(c)).alias(c) for c in names]), has_answer)
 
 
@@ -101,9 +126,7 @@ def load_all(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "train": load_split(spark, at["train"]),
         "val": load_split(spark, at["val"]),
         "test": load_split(spark, at["test"], has_answer=False),
-        "sample_submission": read_csv(
-            spark, at["sample_submission"], _strings(SUBMISSION_COLUMNS)
-        ),
+        "sample_submission": read_raw_csv(spark, at["sample_submission"]),
     }
 
 
@@ -135,7 +158,10 @@ def file_audit(
         .load(folder)
         .select("path", "length")
     )
-    inside = F.element_at(F.split("path", "/" + folder.strip("/").split("/")[-1] + "/"), -1)
+    # the part after the folder, whose name may hold any characters and may occur again below it
+    at = F.locate("/" + folder.strip("/") + "/", F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))))
+    path = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
+    inside = F.substring(path, at + len(folder.strip("/")) + 2, F.length(path))
     sizes = (
         listed.withColumn("file", F.substring_index(inside, "/", 1))
         .groupBy("file")

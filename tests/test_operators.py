@@ -235,3 +235,68 @@ def test_empty_subset_json_is_null(spark):
 def test_rank_shares_ties(spark):
     df = spark.createDataFrame([("a", 0.5), ("b", 0.7), ("c", 0.5), ("d", 0.1)], "key string, combined double")
     assert {r["key"]: r["rank"] for r in runs.rank_runs(df).collect()} == {"b": 1, "a": 2, "c": 2, "d": 4}
+
+
+def test_runs_without_a_score_rank_last(spark):
+    rows = [("a", 0.5), ("b", None), ("c", float("nan")), ("d", 0.9), ("e", 0.5)]
+    df = spark.createDataFrame(rows, "key string, combined double")
+    got = {r["key"]: r["rank"] for r in runs.rank_runs(df).collect()}
+    assert got == {"d": 1, "a": 2, "e": 2, "b": 4, "c": 4}
+
+
+def test_checkpoints_skip_missing_metrics(spark):
+    rows = [("r", 1, 0.5), ("r", 2, float("nan")), ("r", 3, 0.7), ("r", 4, None), ("s", 1, None)]
+    df = spark.createDataFrame(rows, "run string, epoch int, metric double")
+    assert sorted(map(tuple, runs.best_checkpoint(df).collect())) == [("r", 3, 0.7), ("s", None, None)]
+    assert ("r", 1, 0.5) in list(map(tuple, runs.best_checkpoint(df, greater=False).collect()))
+    stops = {r["run"]: r["stop_epoch"] for r in runs.early_stop_epoch(df, 1).collect()}
+    assert stops == {"r": 2, "s": 1}
+
+
+def test_csv_columns_by_name(spark, tmp_path):
+    path = str(tmp_path / "x.csv")
+    with open(path, "w") as f:
+        f.write('output,ID,input\n"an answer, quoted",7,what is it\n')
+    row = tables.load_split(spark, path).first()
+    assert (row["ID"], row["input"], row["output"], row["subset"]) == ("7", "what is it", "an answer, quoted", None)
+    with open(path, "w") as f:
+        f.write("ID,output\n7,x\n")
+    with pytest.raises(ValueError, match="lacks"):
+        tables.load_split(spark, path)
+
+
+def test_submission_with_swapped_columns_is_noticed(spark, tmp_path):
+    path = str(tmp_path / "s.csv")
+    with open(path, "w") as f:
+        f.write("ID,TargetLLM,TargetR1F1,TargetRLF1\n1,a,b,c\n")
+    sample = spark.createDataFrame([("1", "?", "?", "?")], "ID string, TargetRLF1 string, TargetR1F1 string, TargetLLM string")
+    checks = {r["check"]: r["ok"] for r in submission.submission_check(tables.read_raw_csv(spark, path), sample).collect()}
+    assert not checks["columns"] and checks["row_count"]
+
+
+def test_weights_below_one_are_refused(spark):
+    from answerloom.operators.sampling import oversample_subsets
+
+    with pytest.raises(ValueError):
+        oversample_subsets(spark.createDataFrame([("1", "a")], "ID string, subset string"), ["a"], 0)
+
+
+def test_a_cluster_must_name_a_shared_folder():
+    from types import SimpleNamespace
+
+    from answerloom.sources.staging import workspace
+
+    context = SimpleNamespace(
+        getConf=lambda: SimpleNamespace(get=lambda k: None), getCheckpointDir=lambda: None, master="spark://a:7077"
+    )
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        workspace(SimpleNamespace(sparkContext=context))
+
+
+def test_file_audit_takes_names_literally(spark, tmp_path):
+    folder = tmp_path / "data+1" / "x" / "data+1"
+    folder.mkdir(parents=True)
+    (folder / "inner.txt").write_text("abc")
+    (tmp_path / "data+1" / "Train.csv").write_text("ID\n")
+    rows = {r["file"]: r["present"] for r in tables.file_audit(spark, str(tmp_path / "data+1"), ["Train.csv", "inner.txt"]).collect()}
+    assert rows == {"Train.csv": True, "inner.txt": False}
