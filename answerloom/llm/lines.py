@@ -1,9 +1,7 @@
-"""Fuzzy line deduplication: SimHash, pigeonhole blocks, edit similarity, groups."""
+"""Fuzzy line deduplication: sketches of shared parts, edit similarity, groups."""
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,16 +9,16 @@ from answerloom.llm.frames import fresh, let, text_of, whole_row
 from answerloom.llm.groups import connect, only_possible
 from answerloom.sources.staging import stage
 
-#: Two lines are alike if their SimHashes differ in at most DISTANCE of 64 bits and their
-#: edit similarity is at least SIMILARITY.
-DISTANCE = 3
+#: Two lines are alike if their edit similarity is at least SIMILARITY.  Their SimHashes may
+#: differ in any number of bits: one changed word of a short line moves a third of them.
+DISTANCE = 64
 SIMILARITY = 0.8
-#: Widths of the blocks of a SimHash.  DISTANCE wrong bits leave two of five blocks whole.
-_BLOCKS = (13, 13, 13, 13, 12)
-#: Sixteen counters of four lanes of 16 bits; a line of so many words cannot overflow one.
-_FEW = 32767
-_LANES = 0x0001000100010001
-#: The same in eight lanes of 8 bits, for parts of longer lines.
+#: Lines are compared if they share one of: the SHINGLES smallest hashes of three words in a
+#: row; three neighbours among the WORDS smallest hashes of words; in lines of at most
+#: SHORT words also two neighbours among the GRAMS smallest hashes of four characters, and in
+#: lines of at most TINY words all words but one.
+SHINGLES, WORDS, GRAMS, SHORT, TINY = 12, 14, 12, 12, 8
+#: Sixty-four counters of SimHash in eight lanes of 8 bits, for so many words at once.
 _CHUNK = 127
 _NARROW = 0x0101010101010101
 
@@ -76,41 +74,54 @@ def simhash(line: Column) -> Column:
     return let(F.transform(F.split(line, " "), lambda w: F.xxhash64(w)), bits)
 
 
-def _codes(lines: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys`` and SimHash ``code`` of each row's ``line`` (the keys tell rows apart).
+def block_keys(line: Column) -> Column:
+    """Keys of a normalised line; lines that share none are not compared.
 
-    The same value as :func:`simhash`, by sums over exploded words, which Spark compiles.
+    Kinds of key whose parts also occur in unrelated lines carry a class of length, and that
+    of the next class too, so that lengths within SIMILARITY still meet.
     """
-    words = lines.select(*keys, F.split("line", " ").alias("w"))
-    votes = [
-        F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(_LANES))).alias(f"c{i}") for i in range(16)
-    ]
-    summed = (
-        words.select(*keys, F.explode(F.when(F.size("w") <= _FEW, F.col("w"))).alias("w"))
-        .where("w <> ''")
-        .withColumn("h", F.xxhash64("w"))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"), *votes)
-    )
-    code = F.lit(0).cast("bigint")
-    for b in range(64):
-        count = F.shiftrightunsigned(f"c{b % 16}", b - b % 16).bitwiseAND(F.lit(0xFFFF))
-        bit = F.lit(-(1 << 63) if b == 63 else 1 << b).cast("bigint")
-        code = code.bitwiseOR(F.when(2 * count > F.col("n"), bit).otherwise(F.lit(0).cast("bigint")))
-    return summed.select(*keys, code.alias("code"))
-
-
-def block_keys(code: Column) -> Column:
-    """Keys of all pairs of blocks: codes within DISTANCE bits share at least one."""
-    blocks, at = [], 0
-    for width in _BLOCKS:
-        blocks.append(F.shiftrightunsigned(code, at).bitwiseAND(F.lit((1 << width) - 1)))
-        at += width
-    keys = [
-        F.lit(i) + 16 * (blocks[a] + (1 << 13) * blocks[b])
-        for i, (a, b) in enumerate(combinations(range(len(_BLOCKS)), 2))
-    ]
-    return F.array(*keys)
+    size = F.floor(F.log(F.length(line).cast("double")) / F.log(F.lit(1 / SIMILARITY)) + 1e-9).cast("bigint")
+
+    def least(hashes: Column, n: int) -> Column:
+        return F.slice(F.sort_array(F.array_distinct(hashes)), 1, n)
+
+    def runs(values: Column, n: int, salt: int) -> Column:
+        """Hashes of all ``n`` values in a row; fewer values are one run."""
+        ends = F.sequence(F.lit(0), F.greatest(F.size(values) - n, F.lit(0)))
+        return F.transform(
+            ends, lambda i: F.xxhash64(*[F.get(values, i + k) for k in range(n)], F.lit(salt))
+        )
+
+    def sized(keys: Column) -> Column:
+        return F.concat(*[F.transform(keys, lambda k: F.xxhash64(k, size + d)) for d in (0, 1)])  # noqa: B023
+
+    def keys(words: Column) -> Column:
+        hashes = F.transform(words, lambda w: F.xxhash64(w))
+        none = F.array().cast("array<bigint>")
+
+        def by_words(h: Column) -> Column:
+            shared = let(least(h, WORDS), lambda x: sized(runs(x, 3, 2)))
+            less_one = F.concat(
+                F.array(F.xxhash64(h, F.lit(3))),
+                F.transform(
+                    F.sequence(F.lit(0), F.size(h) - 1),
+                    lambda i: F.xxhash64(F.filter(h, lambda _, k: k != i), F.lit(3)),
+                ),
+            )
+            return F.concat(
+                least(runs(h, 3, 1), SHINGLES),
+                F.when(F.size(h) > TINY, shared).otherwise(none),
+                F.when((F.size(h) > 1) & (F.size(h) <= TINY), less_one).otherwise(none),
+            )
+
+        letters = F.transform(F.split(F.concat(F.lit(" "), line, F.lit(" ")), ""), lambda c: F.ascii(c))
+        grams = let(letters, lambda c: least(runs(c, 4, 4), GRAMS))
+        pairs = let(grams, lambda x: sized(runs(x, 2, 5)))
+        return F.concat(
+            let(hashes, by_words), F.when(F.size(words) <= SHORT, pairs).otherwise(none)
+        )
+
+    return F.array_distinct(let(F.split(line, " "), keys))
 
 
 def _common_prefix(a: Column, b: Column) -> Column:
@@ -152,41 +163,29 @@ def _middles(a: Column, b: Column) -> tuple[Column, Column]:
     return back["a"], back["b"]
 
 
-def alike(pairs: DataFrame, codes: DataFrame, lines: DataFrame) -> DataFrame:
+def alike(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """Rows of (a, b) whose lines are alike.
 
-    ``codes`` has (node, code) and ``lines`` (node, line), possibly repeated.  Most pairs
-    end at the codes; only lines of the others are fetched.
+    ``lines`` has (node, line).  Lengths too far apart end first; only the other lines are
+    fetched.
     """
-    x, y = (codes.select(F.col("node").alias(k), F.col("code").alias(f"c{k}")) for k in "ab")
+    x, y = (lines.select(F.col("node").alias(k), F.length("line").alias(f"n{k}")) for k in "ab")
+    longer, shorter = F.greatest("na", "nb"), F.least("na", "nb")
     near = stage(
-        pairs.join(x, "a").join(y, "b")
-        .where(F.bit_count(F.col("ca").bitwiseXOR(F.col("cb"))) <= DISTANCE)
-        .select("a", "b"),
-        "near-codes",
-    )
-    nodes = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = stage(
-        only_possible(lines, "node", nodes)
-        .join(nodes, "node")  # a semi-join would go below the filter
-        .groupBy("node")
-        .agg(F.first("line").alias("line")),
-        "near-lines",
+        pairs.join(x, "a").join(y, "b").where(shorter >= SIMILARITY * longer).select("a", "b"), "near-lengths"
     )
-    x, y = (texts.select(F.col("node").alias(k), F.col("line").alias(f"l{k}")) for k in "ab")
-    longer = F.greatest(F.length("la"), F.length("lb"))
-    shorter = F.least(F.length("la"), F.length("lb"))
-    edits = F.levenshtein(*_middles(F.col("la"), F.col("lb")))
-    # edits are at least the difference in length, so lengths too far apart need no count
-    close = F.when(shorter < SIMILARITY * longer, False).otherwise(edits <= (1 - SIMILARITY) * longer)
-    return near.join(x, "a").join(y, "b").where(close).select("a", "b")
+    x, y = (lines.select(F.col("node").alias(k), F.col("line").alias(f"l{k}")) for k in "ab")
+    most = F.floor((1 - SIMILARITY) * F.greatest(F.length("la"), F.length("lb"))).cast("int")
+    # -1 beyond the limit, where counting ends early
+    edits = F.call_function("levenshtein", *_middles(F.col("la"), F.col("lb")), most)
+    return near.join(x, "a").join(y, "b").where(edits >= 0).select("a", "b")
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with repeated lines taken out of ``text``; ``n_lines`` and ``n_dropped`` added.
 
     Lines are split at \\n.  Lines that are equal after normalisation, or alike (see
-    DISTANCE and SIMILARITY), are linked; of each connected group the occurrence with the
+    SIMILARITY) and share a key of :func:`block_keys`, are linked; of each connected group the occurrence with the
     smallest id, text hash and line number stays (null ids first), all others go, also within
     a text.  Lines without letters or digits stay as they are.  Rows with the same id and
     text count as one document and keep the same lines.  A null text stays null, an empty
@@ -205,28 +204,20 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         ).withColumn("line", normalised(F.col("raw")))
         return split.select("id", "row", "number", F.xxhash64("line", F.lit(11)).alias("node"), "line")
 
-    marked = lines_with_words(docs)
-    # a line of more than _FEW words has more than twice as many characters
-    giant = lines_with_words(docs.where(F.length(body) > 2 * _FEW)).where(
-        F.size(F.split("line", " ")) > _FEW
-    )
-    places = _codes(marked, keys).unionByName(
-        giant.select(*keys, simhash(F.col("line")).alias("code"))
-    )
-    places = stage(places, "line-places")
+    marked = lines_with_words(docs).where("line <> ''")
+    places = stage(marked.select(*keys), "line-places")
     unique = stage(
-        places.groupBy("node").agg(
+        marked.groupBy("node").agg(
             F.min(F.struct("id", "row", "number")).alias("first"),
-            F.first("code").alias("code"),
+            F.first("line").alias("line"),
             F.count(F.lit(1)).alias("n"),
         ),
         "line-nodes",
     )
-    members = unique.select(F.explode(block_keys(F.col("code"))).alias("bucket"), "node")
-    codes = unique.select("node", "code")
-    lines = marked.select("node", "line")
-    labels = stage(connect(members, lambda pairs: alike(pairs, codes, lines)), "line-labels")
-    grouped = unique.join(labels, "node", "left").where("n > 1 or label is not null").select(
+    members = unique.select(F.explode(block_keys(F.col("line"))).alias("bucket"), "node")
+    lines = unique.select("node", "line")
+    labels = stage(connect(members, lambda pairs: alike(pairs, lines)), "line-labels")
+    grouped = unique.drop("line").join(labels, "node", "left").where("n > 1 or label is not null").select(
         "node", F.coalesce("label", "node").alias("label"), "first"
     )
     keepers = grouped.groupBy("label").agg(F.min("first").alias("keep"))

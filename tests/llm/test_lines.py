@@ -128,3 +128,29 @@ def test_hot_line(make_docs):
         for i in range(200)
     ]
     assert rows(dedup_lines(make_docs(docs))) == expected(docs)
+
+
+def test_changed_words_at_every_length(make_docs):
+    """Lines of 8 to 60 words with up to a fifth of the words replaced, or letters mistyped,
+    against all pairs by edit similarity alone."""
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(3000)]
+    pairs = []
+    for n in (8, 10, 15, 20, 30, 40, 60):
+        for share in (0, 0.1, 0.15):
+            for _ in range(5):
+                old = rng.choices(words, k=n)
+                new = list(old)
+                for i in rng.sample(range(n), max(1, int(share * n))):
+                    new[i] = rng.choice(words)
+                pairs.append((" ".join(old), " ".join(new)))
+        old = rng.choices(words, k=n)
+        letters = list(" ".join(old))
+        for i in rng.sample(range(len(letters)), len(letters) // 20):
+            letters[i] = "z"
+        pairs.append((" ".join(old), "".join(letters)))
+    linked = [p for p in pairs if edits(*p) <= (1 - SIMILARITY) * max(map(len, p))]
+    assert len(linked) > 90
+    docs = [(k * len(linked) + i, p[k]) for k in (0, 1) for i, p in enumerate(linked)]
+    left = {i for i, text in rows(dedup_lines(make_docs(docs))) if text}
+    assert left == set(range(len(linked)))
