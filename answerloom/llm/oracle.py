@@ -114,9 +114,70 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from f
 """
 
+_OP12 = r"""
+with d as (
+  select doc_id, length(coalesce(text, '')) as chars,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as bare
+  from documents
+), r as (
+  select *, row_number() over (partition by bare order by chars desc, doc_id nulls last) as place,
+         count(*) over (partition by bare) as group_size
+  from d
+), k as (
+  select bare, doc_id as keep_id from r where place = 1
+)
+select doc_id, keep_id, group_size, place = 1 as kept, sha256(bare) as text_sha256
+from r join k using (bare)
+"""
+
+_OP13 = r"""
+with p as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) as piece
+  from documents
+), w as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words from p
+), grams as (
+  select lang, list_slice(words, i, i + k - 1) as g
+  from (select lang, words, k, unnest(range(1, len(words) - k + 2)) as i
+        from w, range(1, 5) t(k) where len(words) >= k)
+), f as (
+  select lang, g, count(*) as a from grams group by all
+), c as (
+  select * from f where a >= 30 and len(g) > 1
+), totals as (
+  select lang, sum(a)::bigint as n from f where len(g) = 1 group by lang
+), cuts as (
+  select c.lang, c.g, c.a, k, x.a as l, y.a as r,
+         ((2000000::hugeint * c.a) // (x.a + y.a))::bigint as score
+  from c, range(1, 4) t(k)
+  join f x on x.lang = c.lang and x.g = list_slice(c.g, 1, k)
+  join f y on y.lang = c.lang and y.g = list_slice(c.g, k + 1, len(c.g))
+  where k < len(c.g)
+), best as (
+  select * from cuts qualify row_number() over (partition by lang, g order by score, k) = 1
+), inner_parts as (
+  select lang, list_slice(g, i, i + m - 1) as g, max(a) as most
+  from (select lang, g, a, m, unnest(range(1, len(g) - m + 2)) as i
+        from c, range(2, 4) t(m) where m < len(g))
+  group by all
+), kept as (
+  select best.*, array_to_string(best.g, ' ') as phrase
+  from best left join inner_parts using (lang, g)
+  where most is null or 100 * most < 80 * best.a
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank,
+       phrase, a, l, r, n, score
+from kept join totals using (lang)
+qualify rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op1_histogram_sort": _OP1,
     "op4_content_archive": _OP4,
     "op6_kdtree_topk": _OP6,
     "op8_rule_cascade": _OP8,
+    "op12_digest_merge": _OP12,
+    "op13_collocations": _OP13,
 }

@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 
 from answerloom.llm.archive import header_field, read_archive, sha1_base32, write_archive
 from answerloom.llm.bpe import decode_ids, encode_texts, token_count
+from answerloom.llm.collocations import collocations
+from answerloom.llm.digests import exact_dedup
 from answerloom.llm.extraction import extract_pages
 from answerloom.llm.importance import importance_resample
 from answerloom.llm.kdtree import exact_topk, integer_vectors
 from answerloom.llm.lines import dedup_lines
 from answerloom.llm.minhash import near_duplicates
 from answerloom.llm.mixing import mix_plan, word_count
+from answerloom.llm.repair import damaged, repair_conversations, summarise
 from answerloom.llm.rules import cascade
 from answerloom.llm.sharding import histogram_shards, text_keys, text_size
 from answerloom.sources.staging import new_path
@@ -121,6 +124,22 @@ def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resample(docs, _table(spark, sf_dir, "labels")).drop("text")
 
 
+def op11_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cost, edits and digest of every damaged and repaired conversation."""
+    turns = damaged(_table(spark, sf_dir, "conversations"))
+    return summarise(repair_conversations(turns, absent="absent")).withColumnRenamed("conv", "conv_id")
+
+
+def op12_digest_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one that stays of its equals."""
+    return exact_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of each language."""
+    return collocations(_table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 QUERIES = {
     "op1_histogram_sort": op1_histogram_sort,
     "op2_weighted_minhash": op2_weighted_minhash,
@@ -132,4 +151,7 @@ QUERIES = {
     "op8_rule_cascade": op8_rule_cascade,
     "op9_crf_extraction": op9_crf_extraction,
     "op10_importance_resampling": op10_importance_resampling,
+    "op11_repair_conversations": op11_repair_conversations,
+    "op12_digest_merge": op12_digest_merge,
+    "op13_collocations": op13_collocations,
 }
