@@ -32,8 +32,9 @@ from answerloom.plans.corpora import (
     documents_raw,
     table,
 )
-from answerloom.sources import tables
+from answerloom.sources import index, tables
 from answerloom.sources.staging import new_path, stage
+from answerloom.streaming import answers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -349,6 +350,32 @@ def retrieve_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.retrieve_nearest(train, _all_routes(holdout).drop(ANSWER))
 
 
+@query
+def stored_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same answers from an index in a folder: saved, appended to, loaded."""
+    train, holdout = _split(spark, sf_dir)
+    path = new_path(spark, "index")
+    late = F.crc32(F.col(ID).cast("binary")) % 3 == 0
+    index.save_index(train.where(~late), path)
+    index.append_rows(train.where(late), path)
+    return retrieval.retrieve(index.load_index(spark, path), _all_routes(holdout).drop(ANSWER))
+
+
+@query
+def answer_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The holdout arrives in two files, each a micro-batch answered from a stored index."""
+    train, holdout = _split(spark, sf_dir)
+    root = new_path(spark, "stream")
+    index.save_index(train, f"{root}/index")
+    asks = _all_routes(holdout).drop(ANSWER)
+    half = F.crc32(F.col(ID).cast("binary")) % 2 == 0
+    for part in (asks.where(half), asks.where(~half)):
+        part.coalesce(1).write.mode("append").parquet(f"{root}/asked")
+    asked = answers.question_stream(spark, f"{root}/asked", asks.schema)
+    answers.answer_stream(asked, f"{root}/index", f"{root}/answers", f"{root}/state").awaitTermination()
+    return spark.read.parquet(f"{root}/answers").drop("batch")
+
+
 @query
 def prediction_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, holdout = _split(spark, sf_dir)

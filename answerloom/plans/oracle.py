@@ -112,10 +112,10 @@ def grams(src: str, key: str, text: str) -> str:
 def nearest(train: str, queries: str) -> str:
     """CTE ``found``: ``queries`` with answer, similarity and matched question."""
     return f"""own as (select subset from {train} where coalesce(subset,'')<>'' group by 1 having count(*)>=2),
-routed as (select q.*, coalesce(o.subset,'__global__') as grp from {queries} q left join own o using (subset)),
+routed as (select q.*, coalesce('='||o.subset,'*') as grp from {queries} q left join own o using (subset)),
 routes as (select distinct grp from routed),
-entries as (select t.ID, {clean('t.input')} as q, g.grp from {train} t join routes g on g.grp='__global__'
- or (g.grp=t.subset and t.subset in (select subset from own))),
+entries as (select t.ID, {clean('t.input')} as q, g.grp from {train} t join routes g on g.grp='*'
+ or (g.grp='='||t.subset and t.subset in (select subset from own))),
 tg as ({grams('entries', 'grp, ID', 'q')}),
 sizes as (select grp, count(*) as N from entries group by 1),
 idf as (select grp, gram, ln((1+N)::double/(1+df))+1 as idf from
@@ -372,9 +372,9 @@ select *, rows=expected_rows and null_targets=0 and differing_targets=0 as ok fr
     )
     changed = "case when subset like 'Fr%' then 'Xx_Aaa' when subset<>'De_Bbb' then subset end as subset"
     sql["retrieval_route"] = f"""{WITH}{HOLDOUT}, own as (select subset from train group by 1 having count(*)>=2)
-select ID, q.subset, coalesce(o.subset,'__global__') as grp from (select ID, {changed} from holdout) q left join own o using (subset)"""
+select ID, q.subset, coalesce('='||o.subset,'*') as grp from (select ID, {changed} from holdout) q left join own o using (subset)"""
     indexed = f"""{QA}, own as (select subset from qa group by 1 having count(*)>=2),
-e as (select ID, input, subset as grp from qa where subset in (select subset from own) union all select ID, input, '__global__' from qa),
+e as (select ID, input, '='||subset as grp from qa where subset in (select subset from own) union all select ID, input, '*' from qa),
 g as ({grams('e', 'grp, ID', 'input')}), n as (select grp, count(*) as N from e group by 1)"""
     sql["gram_idf"] = f"""{WITH}{indexed}, s as (select grp, gram, count(*) as df, sum(k) as tf from g group by 1,2
  qualify row_number() over (partition by grp order by tf desc, gram)<=200000)
@@ -384,6 +384,7 @@ select grp, gram, df, round(ln((1+N)::double/(1+df))+1,6) as idf from s join n u
     hit = "answer, similarity, matched_question"
     sql["retrieve_nearest"] = f"""{WITH}{HOLDOUT}, asks as (select ID, input, {changed} from holdout), {nearest('train', 'asks')}
 select ID, input, subset, {hit} from found"""
+    sql["stored_index"] = sql["answer_stream"] = sql["retrieve_nearest"]
     sql["prediction_preview"] = f"""{WITH}{HOLDOUT}, {nearest('train', 'holdout')}
 select ID, left(input,120) as question, left(output,120) as reference, left(answer,120) as prediction,
  printf('%.3f',similarity) as similarity, left(matched_question,120) as matched_question from found order by ID limit 5"""

@@ -57,6 +57,19 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         path.getFileSystem(conf).delete(path, True)
 
 
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file under another name first, so that it appears whole or not at all."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    draft, final = (jvm.org.apache.hadoop.fs.Path(x) for x in (f"{path}.{uuid.uuid4().hex}", path))
+    fs = final.getFileSystem(conf)
+    out = fs.create(draft)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(draft, final):
+        fs.delete(draft, False)
+        raise ValueError(f"{path} exists already")
+
+
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
     """Give a file scan at least one partition per core; larger scans pass through.
 
