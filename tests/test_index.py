@@ -108,6 +108,6 @@ def test_few_pairs_are_completed(spark):
         return [x / (len(asked) * len(train)) for x in met]
 
     opened, completed = shares([q for _, q, _, _ in train[::100]])
-    assert opened < 0.7 and completed < 0.01
+    assert opened < 0.5 and completed < 0.05
     unlike = shares([text() for _ in range(30)])[1]
-    assert unlike < 0.3
+    assert unlike < 0.5, unlike
