@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from answerloom.functions.arrays import records
 from answerloom.functions.text import tokenize_ws
 from answerloom.names import ID
 from answerloom.operators.sampling import shuffle_rows
+from answerloom.operators.scoring import score_pairs
+from answerloom.sources.staging import stage
 
 PAD = 0  # id of padding
 UNKNOWN = 1  # id of words outside the vocabulary
 IGNORED = -100  # label value the loss skips
 MAX_INPUT, MAX_TARGET = 256, 512
+HEAD_WORDS = 1 << 15  # most frequent words, which go to every task
 
 
 #: Words of so few occurrences are many; they are ranked in hash buckets.
@@ -55,40 +64,127 @@ def encode_examples(
     vocabulary: DataFrame,
     max_input: int = MAX_INPUT,
     max_target: int = MAX_TARGET,
+    head: int = HEAD_WORDS,
 ) -> DataFrame:
-    """(ID, input_ids, attention_mask, labels) from (ID, prompt, answer).
+    """(ID, input_ids, attention_mask, labels) from (ID, prompt, answer) with unique ``ID``.
 
-    The length limits are those of the encoding itself; words are looked up by a
-    join and put back in order.
+    The length limits are those of the encoding itself.  The ``head`` first words of the
+    vocabulary go to every task and give most ids where the row is.  The others
+    are looked up by a join, once for each row and word, and put into their places by number:
+    no row of tokens moves, and no common word is a join key.
     """
-    # both sides in one pass over the vocabulary; an empty side leaves a null word
-    sides = records(
-        ("side", "words"),
-        (F.lit("i"), F.slice(tokenize_ws(F.col("prompt")), 1, max_input)),
-        (F.lit("t"), F.slice(tokenize_ws(F.col("answer")), 1, max_target)),
-    )
-    words = pairs.select(ID, F.inline(sides)).select(
-        ID, "side", F.posexplode_outer("words").alias("pos", "word")
-    )
-    coded = words.join(vocabulary, "word", "left").select(
+    first = vocabulary.where(F.col("word_id") <= head + UNKNOWN).select("word", "word_id").toArrow()
+    words = pairs.select(
         ID,
-        "side",
-        "pos",
-        F.struct("pos", F.coalesce("word_id", F.lit(UNKNOWN)).alias("id")).alias("t"),
+        F.slice(tokenize_ws(F.col("prompt")), 1, max_input).alias("i"),
+        F.slice(tokenize_ws(F.col("answer")), 1, max_target).alias("t"),
+    )
+    kind = f"`{ID}` {pairs.schema[ID].dataType.simpleString()}, i array<int>, t array<int>, rare array<string>"
+    coded = stage(words.mapInArrow(_code_head(first.column("word"), first.column("word_id")), kind), "head-ids")
+    missing = coded.select(ID, F.posexplode("rare").alias("place", "word"))
+    rest = vocabulary.where(F.col("word_id") > head + UNKNOWN)
+    found = (
+        missing.join(rest, "word", "left")
+        .groupBy(ID)
+        .agg(F.array_sort(F.collect_list(F.struct("place", F.coalesce("word_id", F.lit(UNKNOWN)).alias("id")))).alias("ids"))
+        .select(ID, F.col("ids.id").alias("ids"))
     )
 
-    def ids(side: str) -> Column:
-        mine = (F.col("side") == side) & F.col("pos").isNotNull()
-        found = F.collect_list(F.when(mine, F.col("t")))
-        return F.transform(F.array_sort(found), lambda t: t["id"])
+    def whole(side: str) -> Column:
+        return F.transform(side, lambda x: F.when(x < 0, F.get("ids", -1 - x)).otherwise(x))
 
-    arrays = coded.groupBy(ID).agg(ids("i").alias("i"), ids("t").alias("t"))
-    return arrays.select(
+    return coded.join(found, ID, "left").select(
         ID,
-        F.col("i").alias("input_ids"),
+        whole("i").alias("input_ids"),
         F.transform("i", lambda _x: F.lit(1)).alias("attention_mask"),
-        label_mask(F.col("t")).alias("labels"),
+        label_mask(whole("t")).alias("labels"),
+    )
+
+
+def _code_head(known: pa.ChunkedArray, ids: pa.ChunkedArray):
+    """Ids of known words; the others of a row are listed once, and -1, -2, ... point to them."""
+    known, ids = known.combine_chunks(), ids.combine_chunks().to_numpy()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            sides = [batch.column("i"), batch.column("t")]
+            words = pa.concat_arrays([s.flatten() for s in sides])
+            row = np.concatenate([np.repeat(np.arange(n), np.diff(s.offsets.to_numpy())) for s in sides])
+            at = pc.index_in(words, known)
+            code = np.where(pc.is_valid(at).to_numpy(False), ids[pc.fill_null(at, 0).to_numpy()] if len(ids) else 0, 0)
+            code = code.astype(np.int64)
+            unknown = np.flatnonzero(code == 0)
+            texts = words.take(pa.array(unknown)).dictionary_encode()
+            pair = row[unknown] * (len(texts.dictionary) + 1) + texts.indices.to_numpy()
+            distinct, back = np.unique(pair, return_inverse=True)
+            owner, which = np.divmod(distinct, len(texts.dictionary) + 1)
+            starts = np.searchsorted(owner, np.arange(n + 1))
+            code[unknown] = -1 - (back - starts[row[unknown]])
+            cut = len(sides[0].flatten())
+            lists = [
+                pa.ListArray.from_arrays(pa.array(_offsets(s), pa.int32()), pa.array(part, pa.int32()))
+                for s, part in zip(sides, (code[:cut], code[cut:]), strict=True)
+            ]
+            rare = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), texts.dictionary.take(pa.array(which)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *lists, rare], [batch.schema.names[0], "i", "t", "rare"])
+
+    return run
+
+
+def _offsets(lists: pa.ListArray) -> np.ndarray:
+    offsets = lists.offsets.to_numpy()
+    return offsets - offsets[0]
+
+
+@F.pandas_udf(T.StringType())
+def _spell(ids: pd.Series, known: pd.Series, words: pd.Series) -> pd.Series:
+    """The words of each row's ids, from the words that this row has."""
+
+    def text(row: tuple) -> str:
+        if row[0] is None or row[1] is None:
+            return ""
+        word_of = dict(zip(row[1], row[2], strict=True))
+        return " ".join(word_of[i] for i in row[0] if i in word_of)
+
+    return pd.Series([text(r) for r in zip(ids, known, words, strict=True)], dtype=object)
+
+
+def decode_ids(encoded: DataFrame, vocabulary: DataFrame, column: str, out: str = "text") -> DataFrame:
+    """Add the words of id array ``column``, joined by blanks; ids without a word are left out.
+
+    Each row fetches a word once, however often it has it.  ``ID`` must be unique.
+    """
+    wanted = encoded.select(ID, F.explode(F.array_distinct(column)).alias("word_id"))
+    words = (
+        wanted.join(vocabulary, "word_id")
+        .groupBy(ID)
+        .agg(F.array_sort(F.collect_list(F.struct("word_id", "word"))).alias("_known"))
+    )
+    return (
+        encoded.join(words, ID, "left")
+        .withColumn(out, F.coalesce(_spell(F.col(column), F.col("_known.word_id"), F.col("_known.word")), F.lit("")))
+        .drop("_known")
+    )
+
+
+def score_ids(
+    encoded: DataFrame,
+    vocabulary: DataFrame,
+    predictions: str = "predictions",
+    labels: str = "labels",
+    score: Callable[[DataFrame, str, str], DataFrame] = score_pairs,
+) -> DataFrame:
+    """Scores of predicted ids against masked labels: unmask, decode, score.
+
+    ``score`` gets the table and the names of both text columns.
+    """
+    plain = encoded.withColumns(
+        {"_p": prediction_unmask(F.col(predictions)), "_r": label_unmask(F.col(labels))}
     )
+    spelt = decode_ids(stage(plain, "unmasked-ids"), vocabulary, "_p", "prediction")
+    spelt = decode_ids(spelt, vocabulary, "_r", "reference")
+    return score(spelt.drop("_p", "_r"), "prediction", "reference")
 
 
 def label_mask(ids: Column, pad: int = PAD) -> Column:

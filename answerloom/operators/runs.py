@@ -68,17 +68,34 @@ def require_known_keys(base: DataFrame, overrides: DataFrame) -> None:
         raise ValueError(f"{unknown.count()} unknown settings, among them {names}")
 
 
+def typed(value: Column) -> Column:
+    """A setting as VARIANT: JSON keeps its type, any other text is a string, null stays null."""
+    return F.coalesce(F.try_parse_json(value), value.cast("variant"))
+
+
+def setting_types(settings: DataFrame) -> DataFrame:
+    """(key, type, runs) of all settings, so that a run with another type stands out."""
+    kind = F.coalesce(F.schema_of_variant(typed(F.col("value"))), F.lit("VOID"))
+    return settings.groupBy("key", kind.alias("type")).agg(F.count("*").alias("runs"))
+
+
 def changed_fields(base: DataFrame, resolved: DataFrame, runs: DataFrame) -> DataFrame:
-    """(run, changed_fields): JSON of the settings that differ, keys sorted."""
+    """(run, changed_fields): JSON of the settings that differ, keys sorted.
+
+    Numbers, booleans and nulls are written as such, and ``1`` and ``01`` or ``{"a": 1}``
+    and ``{"a":1}`` are the same setting where JSON says so.
+    """
     was = base.select("key", F.col("value").alias("was"))
+    now, before = (F.to_json(typed(F.col(c))) for c in ("value", "was"))
     delta = (
         resolved.where(~F.col("key").isin(DERIVED))
         .join(was, "key")
-        .where(~F.col("value").eqNullSafe(F.col("was")))
+        .where(~now.eqNullSafe(before))
         .groupBy("run")
         .agg(F.sort_array(F.collect_list(F.struct("key", "value"))).alias("d"))
     )
-    text = F.to_json(F.map_from_entries("d"), {"ignoreNullFields": "false"})
+    entries = F.transform("d", lambda e: F.struct(e["key"].alias("key"), typed(e["value"]).alias("value")))
+    text = F.to_json(F.map_from_entries(entries), {"ignoreNullFields": "false"})
     return runs.select("run").join(delta, "run", "left").select(
         "run", F.coalesce(text, F.lit("{}")).alias("changed_fields")
     )

@@ -28,14 +28,12 @@ def score_pairs(df: DataFrame, prediction: str, reference: str = ANSWER) -> Data
     )
 
 
-def mean_scores() -> list[Column]:
+def mean_scores(digits: int | None = DIGITS) -> list[Column]:
+    """Mean scores, rounded where they are a result; None where they are computed on."""
     r1 = F.coalesce(F.avg("rouge1_f1"), F.lit(0.0))
     rl = F.coalesce(F.avg("rougeL_f1"), F.lit(0.0))
-    return [
-        F.round(r1, DIGITS).alias("rouge1_f1"),
-        F.round(rl, DIGITS).alias("rougeL_f1"),
-        F.round((r1 + rl) * 0.5, DIGITS).alias("combined"),
-    ]
+    means = {"rouge1_f1": r1, "rougeL_f1": rl, "combined": (r1 + rl) * 0.5}
+    return [(c if digits is None else F.round(c, digits)).alias(n) for n, c in means.items()]
 
 
 def rouge_overall(scored: DataFrame) -> DataFrame:
@@ -53,6 +51,21 @@ def rouge_by_subset(scored: DataFrame, by: str = SUBSET) -> DataFrame:
     )
 
 
+def rouge_report(scored: DataFrame, by: str = SUBSET) -> DataFrame:
+    """(level, subset, count, means): all rows, then each subset, weakest first, in one pass.
+
+    Rows without a subset count overall only; an empty table has no report.
+    """
+    grouped = scored.groupingSets([[by], []], by)
+    level = F.when(F.grouping_id() == 0, "subset").otherwise("overall")
+    return (
+        grouped.agg(level.alias("level"), F.count("*").alias("count"), *mean_scores())
+        .where((F.col("level") == "overall") | F.col(by).isNotNull())
+        .select("level", by, "count", "rouge1_f1", "rougeL_f1", "combined")
+        .orderBy("level", "combined", by)
+    )
+
+
 def rouge_by_method(scored: DataFrame) -> DataFrame:
     """One row per ``method`` over the same rows: the baseline comparison."""
     return scored.groupBy("method").agg(F.count("*").alias("count"), *mean_scores())

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from answerloom.functions.arrays import records
 from answerloom.functions.text import latin_fraction, word_count
 from answerloom.names import ANSWER, QUESTION, SUBSET
+from answerloom.sources.staging import stage
 
 CLIP = 300  # longest answer shown in the histogram
 BINS = 50
@@ -148,13 +149,64 @@ def answer_reuse(df: DataFrame) -> DataFrame:
 
 
 def top_answers(df: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` most frequent answers with their counts; ties in text order."""
+    """The ``n`` most frequent answers with their counts; ties in text order.
+
+    Answers are counted by digest; the texts of those only move that have as many
+    rows as the ``n``-th.
+    """
+    digest = F.md5(ANSWER).alias("digest")
+    counts = stage(df.groupBy(digest).agg(F.count("*").alias("rows")), "answer-counts")
+    least = counts.orderBy(F.desc("rows")).limit(n).agg(F.min("rows").alias("least"))
+    often = counts.join(F.broadcast(least), F.col("rows") >= F.col("least")).drop("least")
     return (
-        df.groupBy(F.col(ANSWER).alias("answer"))
-        .agg(F.count("*").alias("rows"))
+        df.select(digest, F.col(ANSWER).alias("answer"))
+        .join(often, "digest")
+        .groupBy("digest", "rows")
+        .agg(F.first("answer").alias("answer"))
         .orderBy(F.desc("rows"), "answer")
         .limit(n)
+        .select("answer", "rows")
+    )
+
+
+def answer_sketches(df: DataFrame, size: int = 14) -> DataFrame:
+    """(subset, hll, theta): mergeable sketches of each subset's answers, for storing.
+
+    ``size`` is the power of two of their registers: about 1 % error for HLL at 14; a theta
+    sketch is exact up to 2**14 different answers.
+    """
+    key = F.md5(ANSWER)
+    return df.groupBy(SUBSET).agg(
+        F.hll_sketch_agg(key, size).alias("hll"), F.theta_sketch_agg(key, size).alias("theta")
+    )
+
+
+def sketched_uniqueness(sketches: DataFrame) -> DataFrame:
+    """(subset, unique_answers, by_hll, elsewhere): estimates from stored sketches alone.
+
+    ``elsewhere`` is how many of a subset's answers another subset has too; the last row (null
+    subset) is the union of all.  A subset without a name is left out.
+    """
+    named = sketches.where(F.col(SUBSET).isNotNull())
+    # one small row a subset, so their pairs are few
+    other = named.select(F.col(SUBSET).alias("other"), F.col("theta").alias("theirs"))
+    rest = named.join(F.broadcast(other), F.col(SUBSET) != F.col("other"), "left").groupBy(SUBSET).agg(
+        F.first("theta").alias("theta"), F.first("hll").alias("hll"), F.theta_union_agg("theirs").alias("rest")
+    )
+    shared = F.theta_sketch_estimate(F.theta_intersection("theta", F.coalesce("rest", "theta")))
+    each = rest.select(
+        SUBSET,
+        F.theta_sketch_estimate("theta").alias("unique_answers"),
+        F.hll_sketch_estimate("hll").alias("by_hll"),
+        F.when(F.col("rest").isNotNull(), shared).otherwise(0).cast("bigint").alias("elsewhere"),
+    )
+    whole = named.agg(
+        F.lit(None).cast("string").alias(SUBSET),
+        F.theta_sketch_estimate(F.theta_union_agg("theta")).alias("unique_answers"),
+        F.hll_sketch_estimate(F.hll_union_agg("hll")).alias("by_hll"),
+        F.lit(None).cast("bigint").alias("elsewhere"),
     )
+    return each.unionByName(whole)
 
 
 def script_composition(df: DataFrame) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from answerloom.functions.text import clean_strip
 from answerloom.names import ID, SUBMISSION_COLUMNS
+from answerloom.sources.staging import publish, remove
 from answerloom.sources.tables import write_csv
 
 MIN_CHARS = 5
@@ -28,11 +31,13 @@ def hybrid_fallback(
     )
 
 
-def submission_rows(predictions: DataFrame, prediction: str = "prediction") -> DataFrame:
-    """(ID, three equal targets); a blank prediction becomes one space."""
+def submission_rows(
+    predictions: DataFrame, prediction: str = "prediction", *others: str
+) -> DataFrame:
+    """(ID, three equal targets, others); a blank prediction becomes one space."""
     text = clean_strip(F.col(prediction))
     answer = F.when(text == "", F.lit(" ")).otherwise(text)
-    return predictions.select(ID, *[answer.alias(c) for c in _TARGETS])
+    return predictions.select(ID, *[answer.alias(c) for c in _TARGETS], *others)
 
 
 def align(ids: DataFrame, predictions: DataFrame) -> DataFrame:
@@ -160,6 +165,55 @@ def validate_submission(submission: DataFrame, sample: DataFrame) -> None:
         )
 
 
+def make_submission(
+    predictions: DataFrame,
+    sample: DataFrame,
+    path: str,
+    prediction: str = "prediction",
+    fmt: str = "csv",
+) -> None:
+    """Write, audit, publish: targets for every ID of ``sample`` in directory ``path``.
+
+    Predictions are aligned by ID and blanks filled while a draft is written; the job that writes it
+    also counts missing, unexpected and repeated IDs and rows with unequal targets.  Only if all
+    are zero the draft gets its name, else it is deleted and the counts are raised.  ``path``
+    must not exist.
+    """
+    spark = sample.sparkSession
+    sides = predictions.select(
+        ID, F.struct(F.col(prediction).alias("p")).alias("p"), F.lit(1).alias("got"), F.lit(0).alias("want")
+    ).unionByName(
+        sample.select(
+            ID, F.lit(None).cast("struct<p:string>").alias("p"), F.lit(0).alias("got"), F.lit(1).alias("want")
+        )
+    )
+    per_id = sides.groupBy(ID).agg(
+        F.first("p", ignorenulls=True)["p"].alias("text"), F.sum("got").alias("got"), F.sum("want").alias("want")
+    )
+    rows = submission_rows(per_id, "text", "got", "want")
+    audit = Observation("submission")
+    a, b, c = (F.col(x) for x in _TARGETS)
+    watched = rows.observe(
+        audit,
+        F.count_if(F.col("got") == 0).alias("missing"),
+        F.count_if(F.col("want") == 0).alias("unexpected"),
+        F.count_if((F.col("got") > 1) | (F.col("want") > 1)).alias("repeated"),
+        F.count_if(F.col(ID).isNull()).alias("without_id"),
+        F.count_if(a.isNull() | ~(a.eqNullSafe(b) & a.eqNullSafe(c))).alias("unequal_targets"),
+    )
+    draft = f"{path.rstrip('/')}.draft-{uuid.uuid4().hex}"
+    write_submission(watched, draft, fmt)
+    wrong = {k: n for k, n in audit.get.items() if n}
+    if wrong:
+        remove(spark, draft)
+        raise ValueError(f"no submission written: {wrong}")
+    try:
+        publish(spark, draft, path)
+    except ValueError:
+        remove(spark, draft)
+        raise
+
+
 def write_submission(
     submission: DataFrame, path: str, fmt: str = "csv", one_file: bool = False
 ) -> None:

@@ -168,8 +168,12 @@ def load_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dataset_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = tables.load_all(spark, _write_splits(spark, sf_dir))
-    widths = {name: len(parts[name].columns) for name in ("train", "val", "test")}
-    return stats.dataset_shapes(documents_qa(spark, sf_dir), widths)
+    names = ("train", "val", "test")
+    labels = [parts[name].select(F.lit(name).alias("split")) for name in names]
+    return stats.dataset_shapes(
+        labels[0].unionByName(labels[1]).unionByName(labels[2]),
+        {name: len(parts[name].columns) for name in names},
+    )
 
 
 @query
@@ -180,13 +184,33 @@ def submission_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_csv(spark, path, rows.schema)
 
 
+@query
+def make_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audited and published, then read back."""
+    path = new_path(spark, "published")
+    predicted = _predicted(spark, sf_dir)
+    sample = documents_raw(spark, sf_dir).select(ID)
+    submission.make_submission(predicted, sample.join(predicted, ID, "left_semi"), path)
+    return tables.read_csv(spark, path, submission.submission_rows(predicted).schema)
+
+
 @query
 def run_log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of runs; the second comes twice, as after a failure, and changes nothing."""
     path = new_path(spark, "run-log")
     log = stage(_run_log(spark, sf_dir), "log")
     tables.append_runs(log.where(F.col("key") == "echo"), path)
-    tables.append_runs(log.where(F.col("key") != "echo"), path)
-    return spark.read.schema(tables.RUN_LOG).parquet(path).drop("timestamp")
+    for _ in range(2):
+        tables.append_runs(log.where(F.col("key") != "echo"), path)
+    return tables.read_runs(spark, path).drop("timestamp")
+
+
+@query
+def load_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run log as CSV, read by its header."""
+    path = new_path(spark, "runs-csv")
+    tables.write_csv(_run_log(spark, sf_dir).select(*tables.RUN_LOG.names[::-1]), path)
+    return tables.load_runs(spark, path).drop("timestamp").fillna("", ["public_lb"])
 
 
 # -- projections ---------------------------------------------------------------
@@ -378,8 +402,10 @@ def answer_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def prediction_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the rows that are shown are searched for."""
     train, holdout = _split(spark, sf_dir)
-    return corpus.prediction_preview(retrieval.retrieve_nearest(train, holdout))
+    shown = holdout.orderBy(ID).limit(5)
+    return corpus.prediction_preview(retrieval.retrieve_nearest(train, shown))
 
 
 def _retrieval_scores(spark: SparkSession, sf_dir: str, share: float) -> DataFrame:
@@ -389,7 +415,7 @@ def _retrieval_scores(spark: SparkSession, sf_dir: str, share: float) -> DataFra
 
 @query
 def retrieval_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.rouge_by_subset(_retrieval_scores(spark, sf_dir, HOLDOUT))
+    return scoring.rouge_report(_retrieval_scores(spark, sf_dir, HOLDOUT))
 
 
 @query
@@ -473,6 +499,11 @@ def _train_stat(f: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
+def sketched_uniqueness(qa: DataFrame) -> DataFrame:
+    """From stored sketches; HLL's estimate is left out, as it is not exact."""
+    return stats.sketched_uniqueness(stage(stats.answer_sketches(qa), "sketches")).drop("by_hll")
+
+
 for _f in (
     stats.length_stats,
     stats.length_histogram,
@@ -480,6 +511,7 @@ for _f in (
     stats.answer_reuse,
     stats.top_answers,
     stats.script_composition,
+    sketched_uniqueness,
 ):
     QUERIES[_f.__name__] = _train_stat(_f)
 
@@ -517,8 +549,7 @@ def batch_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(ID, "prompt", "prediction")
 
 
-@query
-def evaluate_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _evaluated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Index on the train part, holdout answered by the stub with both hybrids on."""
     train, holdout = sampling.stratified_split(
         dialogue_qa(spark, sf_dir).select(*QA), 0.2, SEED
@@ -531,14 +562,37 @@ def evaluate_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         fallback=True,
         languages=DEMO_LANGUAGES,
     )
-    return predict.evaluate_predictions(predicted)[1]
+    return predict.evaluate_predictions(predicted)
 
 
-def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query
+def evaluate_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _evaluated(spark, sf_dir)[0]
+
+
+@query
+def evaluated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _evaluated(spark, sf_dir)[1].select(ID, "prediction", "rouge1_f1", "rougeL_f1")
+
+
+def _encoded_with_words(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     pairs = corpus.training_pairs(_qa(spark, sf_dir), languages=DEMO_LANGUAGES)
     both = pairs.select(F.concat_ws(" ", "prompt", "answer").alias("text"))
     words = stage(encoding.word_vocabulary(both, "text"), "vocabulary")
-    return encoding.encode_examples(pairs, words)
+    return encoding.encode_examples(pairs, words), words
+
+
+def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _encoded_with_words(spark, sf_dir)[0]
+
+
+@query
+def decoded_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels, and as predictions the labels in reverse with some padding, decoded and scored."""
+    encoded, words = _encoded_with_words(spark, sf_dir)
+    made = F.concat(F.reverse("labels"), F.array(F.lit(-100), F.lit(0)))
+    rows = encoding.score_ids(encoded.withColumn("predictions", made), words)
+    return rows.select(ID, "reference", "rouge1_f1")
 
 
 @query
@@ -601,20 +655,41 @@ def changed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.changed_fields(base, runs.resolve_configs(base, named, given), named)
 
 
+def _method_settings(spark: SparkSession, meta: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Settings of a run over the exchanges and what each method changes, as JSON texts."""
+    base = {"min_chars": "0", "fallback": "false", "style": "bare", "prompt": "true", "note": None}
+    given = {
+        "echo": {"min_chars": "null", "style": "bare", "note": '"the question"'},
+        "generation": {"prompt": "true"},
+        "hybrid": {"min_chars": str(submission.MIN_CHARS), "fallback": "true", "style": "lang_prefix"},
+    }
+    settings = spark.createDataFrame(list(base.items()), "key string, value string")
+    rows = [(run, k, v) for run, changes in given.items() for k, v in changes.items()]
+    overrides = spark.createDataFrame(rows, "run string, key string, value string")
+    return settings, overrides.join(meta.select("run"), "run", "left_semi")
+
+
 def _run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One logged run per prediction method over the exchanges."""
+    """One logged run per prediction method over the exchanges, with what it changed."""
     scored = stage(scoring.score_pairs(_methods(spark, sf_dir), "p"), "scored")
     scored = scored.withColumnRenamed("method", "run")
-    by_subset = scored.groupBy("run", SUBSET).agg(*scoring.mean_scores())
-    overall = scored.groupBy("run").agg(*scoring.mean_scores())
+    by_subset = scored.groupBy("run", SUBSET).agg(*scoring.mean_scores(None))
+    overall = scored.groupBy("run").agg(*scoring.mean_scores(None))
     meta = scored.select(
         "run",
         F.concat(F.lit("Run "), F.col("run")).alias("title"),
         F.lit("none").alias("hypothesis"),
         F.lit("stub").alias("model_name"),
     ).distinct()
-    none = meta.select("run", F.lit("{}").alias("changed_fields"))
-    return runs.run_log_row(meta, overall, runs.per_subset_json(by_subset, ["run"]), none)
+    base, given = _method_settings(spark, meta)
+    runs.require_known_keys(base, given)
+    changed = runs.changed_fields(base, runs.resolve_configs(base, meta, given), meta)
+    return runs.run_log_row(meta, overall, runs.per_subset_json(by_subset, ["run"]), changed)
+
+
+@query
+def setting_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.setting_types(runs.resolve_configs(*_configs(spark, sf_dir)))
 
 
 @query
@@ -625,7 +700,7 @@ def run_log_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def per_subset_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stage(scoring.score_pairs(_methods(spark, sf_dir), "p"), "scored")
-    by_subset = rows.groupBy("method", SUBSET).agg(*scoring.mean_scores())
+    by_subset = rows.groupBy("method", SUBSET).agg(*scoring.mean_scores(None))
     return runs.per_subset_json(by_subset, ["method"])
 
 

@@ -1,9 +1,10 @@
 """QA tables derived from the driver tables, over whole texts.
 
-``documents``: the first line is the question and everything after it the answer.
-``conversations``: a user turn is the question and the next assistant turn the
-answer. ``generation`` stands in for model output: empty, a lone sentinel,
-sentinels with text, or the answer without its first two words.
+``documents``: the first line is the question and everything after it the answer; of a text of
+one line the first word is the question, and a single word is both.  ``conversations``: a user turn is
+the question and the next assistant turn the answer. ``generation`` stands in for model
+output: empty, a lone sentinel, sentinels with text, or the answer without its first
+two words and with its halves changed over, so that its words are right and their order is not.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from answerloom.functions.arrays import let
 from answerloom.functions.text import tokenize_ws
 from answerloom.operators.corpus import clean_split
 from answerloom.sources.staging import spread
@@ -30,7 +32,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _generation(answer: Column, turn: Column) -> Column:
     tokens = tokenize_ws(answer)
-    late = F.array_join(F.slice(tokens, F.lit(3), F.size(tokens)), " ")
+
+    def turned(x: Column) -> Column:
+        half = F.floor(F.size(x) / 2).cast("int")
+        return F.concat(F.slice(x, half + 1, F.size(x)), F.slice(x, F.lit(1), half))
+
+    late = F.array_join(let(F.slice(tokens, F.lit(3), F.size(tokens)), turned), " ")
     return (
         F.when(turn % 7 == 0, F.lit(""))
         .when(turn % 7 == 1, F.lit("<extra_id_0>"))
@@ -44,12 +51,17 @@ def documents_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = F.when(
         F.expr("substr(source, 4)").cast("int") % 2 == 0, F.lit("Aaa")
     ).otherwise(F.lit("Bbb"))
-    first = F.substring_index("text", "\n", 1)
+    text = F.regexp_replace("text", r"\A[\x09-\x0D\x20]+", "")
+    line = F.substring_index(text, "\n", 1)
+    nothing = r"\A[\x09-\x0D\x20]*\z"
+    single = text.substr(F.length(line) + 1, F.length(text)).rlike(nothing)
+    first = F.when(single, F.regexp_extract(line, r"\A[^\x09-\x0D\x20]+", 0)).otherwise(line)
+    rest = text.substr(F.length(first) + 1, F.length(text))
     return documents(spark, sf_dir).select(
         "doc_id",
         F.concat(F.lit("ID_"), F.col("doc_id").cast("string")).alias("ID"),
         first.alias("input"),
-        F.col("text").substr(F.length(first) + 1, F.length("text")).alias("output"),
+        F.when(single & rest.rlike(nothing), first).otherwise(rest).alias("output"),
         F.concat(
             F.upper(F.substring("lang", 1, 1)), F.expr("substr(lang, 2)"), F.lit("_"), region
         ).alias("subset"),

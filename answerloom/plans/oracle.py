@@ -39,7 +39,8 @@ def language(x: str) -> str:
 
 
 def late(answer: str, n: str) -> str:
-    tail = f"array_to_string(({words(answer)})[3:],' ')"
+    rest = f"({words(answer)})[3:]"
+    tail = f"array_to_string(list_concat({rest}[len({rest})//2+1:],{rest}[:len({rest})//2]),' ')"
     return (
         f"case when {n}%7=0 then '' when {n}%7=1 then '<extra_id_0>'"
         f" when {n}%7=2 then concat('<extra_id_0> <extra_id_1>',{tail}) else {tail} end"
@@ -48,11 +49,18 @@ def late(answer: str, n: str) -> str:
 
 # -- corpora ---------------------------------------------------------------------
 
-RAW = """raw as (
- select doc_id, concat('ID_',doc_id) as ID, first as input, substr(text,length(first)+1) as output,
+RAW = r"""bare as (
+ select *, string_split(t,chr(10))[1] as line from
+  (select *, regexp_replace(text,'\A[\x09-\x0D\x20]+','') as t from documents)),
+heads as (
+ select *, case when single then regexp_extract(line,'\A[^\x09-\x0D\x20]+') else line end as first from
+  (select *, regexp_matches(substr(t,length(line)+1),'\A[\x09-\x0D\x20]*\z') as single from bare)),
+raw as (
+ select doc_id, concat('ID_',doc_id) as ID, first as input,
+  case when single and regexp_matches(substr(t,length(first)+1),'\A[\x09-\x0D\x20]*\z') then first else substr(t,length(first)+1) end as output,
   concat(upper(substr(lang,1,1)),substr(lang,2),'_',
    case when cast(substr(source,4) as int)%2=0 then 'Aaa' else 'Bbb' end) as subset
- from (select *, string_split(text,chr(10))[1] as first from documents))"""
+ from heads)"""
 
 QA = f"""{RAW}, cleaned as (select doc_id, ID, {clean('input')} as input, {clean('output')} as output, subset from raw),
 qa as (select *, {late('output', 'doc_id')} as generation,
@@ -182,6 +190,9 @@ scores as (select tok.*, coalesce(common,0) as common, lcs, {f1('coalesce(common
 MEANS = """round(coalesce(avg(rouge1_f1),0),6) as rouge1_f1, round(coalesce(avg("rougeL_f1"),0),6) as "rougeL_f1",
  round((coalesce(avg(rouge1_f1),0)+coalesce(avg("rougeL_f1"),0))*0.5::double,6) as combined"""
 
+REAL_MEANS = """coalesce(avg(rouge1_f1),0) as rouge1_f1, coalesce(avg("rougeL_f1"),0) as "rougeL_f1",
+ (coalesce(avg(rouge1_f1),0)+coalesce(avg("rougeL_f1"),0))*0.5::double as combined"""
+
 # A CTE list with a recursive member needs the keyword once, in front.
 WITH, WITH_LCS = "with ", "with recursive "
 
@@ -261,10 +272,12 @@ plain as (select run, key, case when present then g.value else b.value end as va
  from named cross join base b left join given g using (run, key))"""
 
 RUNS = f"""{METHODS}, {scored('methods', 'ID, method', 'p')},
-overall as (select method, {MEANS} from scores group by 1),
-parts as (select method, subset, {MEANS} from scores group by 1,2),
+overall as (select method, {REAL_MEANS} from scores group by 1),
+parts as (select method, subset, {REAL_MEANS} from scores group by 1,2),
 maps as (select method, concat('{{', string_agg(concat('"',subset,'":',round(combined,4)), ',' order by round(combined,4), subset), '}}') as per_language from parts group by 1),
-log as (select method as key, concat('Run ',method) as title, 'none' as hypothesis, '{{}}' as changed_fields, 'stub' as model_name,
+log as (select method as key, concat('Run ',method) as title, 'none' as hypothesis,
+ case method when 'echo' then '{{"min_chars":null,"note":"the question"}}' when 'hybrid' then '{{"fallback":true,"min_chars":5,"style":"lang_prefix"}}' else '{{}}' end as changed_fields,
+ 'stub' as model_name,
  round(rouge1_f1,4) as rouge1_f1, round("rougeL_f1",4) as "rougeL_f1", round(combined,4) as combined, '' as public_lb, per_language
  from overall join maps using (method))"""
 
@@ -325,9 +338,10 @@ def build() -> dict[str, str]:
  select {rows}, case when doc_id%10=8 then 'val' else 'train' end as split, {none} from csv where doc_id%10<9 and {kept}
  union all select ID, input, null, subset, 'test', null, null, null from csv where doc_id%10=9 and input<>''
  union all select ID, null, null, null, 'sample_submission', '?', '?', '?' from csv where doc_id%10=9"""
-    sql["dataset_shapes"] = (
-        f"{WITH}{QA} select split, count(*) as rows, case when split='test' then 3 else 4 end::bigint as columns from qa group by split"
-    )
+    sql["dataset_shapes"] = f"""{WITH}{CSV}, shaped as (
+ select case when doc_id%10=8 then 'val' when doc_id%10=9 then 'test' else 'train' end as split, input, output from csv)
+select split, count(*) as rows, case when split='test' then 3 else 4 end::bigint as columns from shaped
+where input<>'' and (output<>'' or split='test') group by split"""
     fallback = f"select ID, {repaired('generation')} as g, input from qa"
     sql["hybrid_fallback"] = (
         f"{WITH}{QA} select ID, case when length(g)<5 then input else g end as prediction, length(g)<5 as used_fallback from ({fallback})"
@@ -339,6 +353,7 @@ def build() -> dict[str, str]:
     sql["submission_sink"] = (
         f"{WITH}{QA} select ID, {targets.format('t')} from (select ID, case when length(g)<5 then input else g end as t from ({fallback}))"
     )
+    sql["make_submission"] = sql["submission_sink"]
     low = "('De_Aaa','Es_Aaa','Es_Bbb','Fr_Bbb')"
     sql["low_resource_rows"] = f"{WITH}{QA} select {rows} from qa where subset in {low}"
     sql["training_pairs"] = f"{WITH}{QA} select ID, {with_reference} as prompt, output as answer from qa"
@@ -389,8 +404,10 @@ select ID, input, subset, {hit} from found"""
 select ID, left(input,120) as question, left(output,120) as reference, left(answer,120) as prediction,
  printf('%.3f',similarity) as similarity, left(matched_question,120) as matched_question from found order by ID limit 5"""
     by_subset = f"select subset, count(*) as count, {MEANS} from scores group by subset"
+    report = f"""select 'subset' as level, subset, count(*) as count, {MEANS} from scores where subset is not null group by subset
+ union all select 'overall', null, count(*), {MEANS} from scores"""
     sql["retrieval_baseline"] = (
-        f"{WITH_LCS}{HOLDOUT}, {nearest('train', 'holdout')}, {scored('found', 'ID', 'answer')} {by_subset}"
+        f"{WITH_LCS}{HOLDOUT}, {nearest('train', 'holdout')}, {scored('found', 'ID', 'answer')} {report}"
     )
     wider = HOLDOUT.replace(fraction(0.05), fraction(0.1))
     sql["retrieval_ceiling"] = (
@@ -418,6 +435,10 @@ select round(avg(q),6) as q_mean, quantile_cont(q,0.5) as q_median, round(avg(a)
     )
     sql["answer_reuse"] = f"""{WITH}{QA}, a as (select count(distinct subset) as n from qa group by output)
 select count(*) filter (where n>1) as shared_answers, round(avg((n>1)::int),6) as shared_fraction from a"""
+    sql["sketched_uniqueness"] = f"""{WITH}{QA}, a as (select distinct subset, output from qa where subset is not null)
+select subset, count(*) as unique_answers, count(*) filter (where exists
+  (select 1 from a b where b.output=a.output and b.subset<>a.subset)) as elsewhere from a group by 1
+ union all select null, count(distinct output), null from a"""
     sql["top_answers"] = (
         f"{WITH}{QA} select output as answer, count(*) as rows from qa group by 1 order by rows desc, answer limit 10"
     )
@@ -435,15 +456,18 @@ select count(*) filter (where n>1) as shared_answers, round(avg((n>1)::int),6) a
     prompt = f"concat({lang},': ',input)"
     sql["batch_predict"] = f"""{WITH}{QA}, p as (select ID, {prompt} as prompt from qa)
 select ID, prompt, {repaired(_generated('prompt'))} as prediction from p"""
-    sql["evaluate_predictions"] = f"""{WITH_LCS}{DIALOGUE}, {split('dialogue', fraction(0.2))},
+    evaluated = f"""{WITH_LCS}{DIALOGUE}, {split('dialogue', fraction(0.2))},
 train as (select {rows} from marked where not picked), holdout as (select {rows} from marked where picked),
 {nearest('train', 'holdout')},
 prompts as (select *, concat({lang},': ',input,case when answer<>'' then concat(chr(10),'Reference: ',{clean('answer')}) else '' end) as prompt from found),
 made as (select ID, output, subset, answer, {repaired(_generated('prompt'))} as g from prompts),
 final as (select ID, output, subset, case when length(g)<5 then answer else g end as p from made),
-{scored('final', 'ID', 'p')} {by_subset}"""
+{scored('final', 'ID', 'p')}"""
+    sql["evaluate_predictions"] = f"{evaluated} {report}"
+    sql["evaluated_rows"] = f'{evaluated} select ID, p as prediction, rouge1_f1, "rougeL_f1" from scores'
     sql["encode_examples"] = f"{WITH}{_encoded()} select * from enc"
     sql["pad_batches"] = _batches()
+    sql["decoded_scores"] = f"""{WITH}{QA} select ID, array_to_string(({words('output')})[1:512],' ') as reference, 1.0::double as rouge1_f1 from qa"""
     ids = f"select ID, list_transform({words('input')}, lambda w: (length(w)-1)::int) as ids from qa"
     sql["label_mask"] = (
         f"{WITH}{QA} select ID, list_transform(ids, lambda x: case when x=0 then -100 else x end) as labels from ({ids})"
@@ -457,13 +481,20 @@ final as (select ID, output, subset, case when length(g)<5 then answer else g en
  union all select run, 'submission_path', concat('artifacts/',run,'/submission.csv'), 'derived' from named
  union all select run, 'notes', hypothesis, 'derived' from named
  union all select run, key, value, 'unknown' from given where key not in (select key from base)"""
-    pair = "concat('\"',key,'\":',case when value is null then 'null' else concat('\"',value,'\"') end)"
+    sql["setting_types"] = f"""{WITH}{CONFIGS}, all_settings as (select run, key, value from plain
+ union all select run, 'run_name', run from named union all select run, 'output_dir', run from named
+ union all select run, 'submission_path', run from named union all select run, 'notes', hypothesis from named
+ union all select run, key, value from given where key not in (select key from base))
+select key, case when key in ('run_name','output_dir','submission_path') then 'STRING' when value is null then 'VOID'
+  when json_valid(value) then case json_type(value) when 'OBJECT' then 'OBJECT<k: BIGINT>' else 'BIGINT' end else 'STRING' end as type,
+ count(*) as runs from all_settings group by 1,2"""
+    pair = "concat('\"',key,'\":',coalesce(value,'null'))"
     sql["changed_fields"] = f"""{WITH}{CONFIGS}, d as (select run, string_agg({pair}, ',' order by key) as j
  from plain where value is distinct from was group by 1)
 select run, concat('{{',coalesce(j,''),'}}') as changed_fields from named left join d using (run)"""
     logged = "key, title, hypothesis, changed_fields, model_name, rouge1_f1, \"rougeL_f1\", combined, public_lb, per_language"
     sql["run_log_row"] = f"{WITH_LCS}{RUNS} select {logged} from log"
-    sql["run_log_append"] = sql["run_log_row"]
+    sql["run_log_append"] = sql["load_runs"] = sql["run_log_row"]
     sql["per_subset_json"] = f"{WITH_LCS}{RUNS} select * from maps"
     sql["runs_by_subset"] = f"{WITH_LCS}{RUNS} select method as key, subset, round(combined,4) as combined from parts"
     sql["rank_runs"] = f"{WITH}{EVENT_RUNS} select key, combined, rank() over (order by combined desc nulls last) as rank from er"

@@ -70,6 +70,20 @@ def publish_text(spark: SparkSession, path: str, text: str) -> None:
         raise ValueError(f"{path} exists already")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file if it is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def publish(spark: SparkSession, draft: str, path: str) -> None:
+    """Give a written folder its final name, which must be free, in one step."""
+    source, final = (spark._jvm.org.apache.hadoop.fs.Path(x) for x in (draft, path))
+    fs = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(final) or not fs.rename(source, final):
+        raise ValueError(f"{path} exists already")
+
+
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
     """Give a file scan at least one partition per core; larger scans pass through.
 

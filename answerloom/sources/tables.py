@@ -139,9 +139,23 @@ def load_progression(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_runs(rows: DataFrame, path: str) -> None:
-    """Append run rows to the parquet run log in its fixed column order."""
+    """Write run rows to the parquet run log, one folder for each key.
+
+    The folder of a key is replaced as a whole, so appending a run again changes nothing.
+    """
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in RUN_LOG]
-    rows.select(*typed).write.mode("append").parquet(path)
+    (
+        rows.select(*typed)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("key")
+        .parquet(path)
+    )
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The parquet run log in its fixed column order."""
+    return spark.read.schema(RUN_LOG).parquet(path).select(*RUN_LOG.names)
 
 
 def file_audit(
