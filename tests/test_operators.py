@@ -398,7 +398,7 @@ def test_rare_words_come_from_a_join(spark):
         got = {r["ID"]: (r["input_ids"], r["labels"]) for r in encoding.encode_examples(pairs, vocabulary, head=head).collect()}
         assert got == want
     plan = encoding.encode_examples(pairs, vocabulary)._jdf.queryExecution().toString()
-    assert set(re.findall(r"explode\w*\((\w+)", plan)) == {"rare"}  # no row of tokens
+    assert not {"i", "t"} & set(re.findall(r"explode\w*\((\w+)", plan))  # no row of tokens
 
 
 def test_ids_are_decoded_and_scored(spark):

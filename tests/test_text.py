@@ -20,7 +20,7 @@ def test_there_are_29_whitespace_characters():
 
 
 def test_clean_text_matches_python(spark):
-    texts = ["  a\n\t b  ", None, "የጤና ጥያቄ", "", " \n ", "a​b", "﻿a", "Akan ɛ ɔ"]
+    texts = ["\r\n drink\x0b\x0cwarm \x1f water \x85", None, "ሙቅ ውሃ ጠጣ", "", "\u3000", "no\u200bbreak", "\ufeffmark", "ŋ ɖ"]
     texts += [f"{c}x{c}{c}y{c}" for c in SPACES]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = df.select(
@@ -41,30 +41,32 @@ def test_clean_text_matches_python(spark):
 
 @pytest.mark.parametrize(
     "code,name",
-    [("Amh_Eth", "Amharic"), ("Aka_Gha", "Akan"), ("Eng_Uga", "English"), (None, "English"),
-     ("", "English"), ("Fra_Cmr", "Fra_Cmr"), ("Lug", "Luganda"), ("_Eth", "_Eth")],
+    [("Lug_Xyz", "Luganda"), ("Swa", "Swahili"), ("eng_Uga", "eng_Uga"), ("", "English"), (None, "English"),
+     ("Fra_Cmr", "Fra_Cmr"), ("_Eth", "_Eth")],
 )
 def test_language_name(spark, code, name):
     assert one(spark, T.language_name(F.col("s")), s=code) == name
 
 
 @pytest.mark.parametrize(
-    "style,part", [("bare", "What"), ("lang_prefix", "Swahili:"), ("instruction", "in Swahili")]
-)
-def test_prompt_styles(spark, style, part):
-    got = one(spark, T.build_prompt(F.col("q"), F.col("s"), style), q="What is malaria?", s="Swa_Ken")
-    assert part in got
+    "style,whole",
+    [("bare", "how long to boil water"), ("lang_prefix", "Luganda: how long to boil water"),
+     ("instruction", "Answer this health question in Luganda: how long to boil water")],
+)
+def test_prompt_styles(spark, style, whole):
+    got = one(spark, T.build_prompt(F.col("q"), F.col("s"), style), q=" how long\nto boil water ", s="Lug_Uga")
+    assert got == whole
 
 
 def test_prompt_with_exemplar(spark):
     def prompt(r):
-        column = T.build_prompt(F.col("q"), F.col("s"), "lang_prefix", F.col("r"))
-        return one(spark, column, q="Q?", s="Eng_Uga", r=r)
+        column = T.build_prompt(F.col("q"), F.col("s"), "bare", F.col("r"))
+        return one(spark, column, q="fever in the night", s="Zul_Zaf", r=r)
 
-    assert prompt("canonical answer") == "English: Q?\nReference: canonical answer"
-    assert prompt("") == prompt(None) == "English: Q?"
+    assert prompt("see a nurse,\n if it stays") == "fever in the night\nReference: see a nurse, if it stays"
+    assert prompt("") == prompt(None) == "fever in the night"
     # tested before cleaning: a blank exemplar still opens the line
-    assert prompt("  ") == "English: Q?\nReference: "
+    assert prompt("\t") == "fever in the night\nReference: "
 
 
 def test_unknown_style_fails_when_the_plan_is_built(spark):
