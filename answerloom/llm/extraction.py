@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from answerloom.llm.crf import Crf, train
 from answerloom.llm.frames import fresh
-from answerloom.llm.pages import features, leaf_blocks
+from answerloom.llm.pages import MARK, features, leaf_blocks
 
 #: Pages that the model is trained on, at most.
 TRAINING_PAGES = 96
@@ -34,12 +34,13 @@ def _part(rng: random.Random, words: list[str], low: int, high: int) -> str:
 
 
 def labelled_page(page: str, rng: random.Random) -> str | None:
-    """A page whose elements carry ``data-label``: 1 main text, 0 anything else.
+    """A page whose elements carry ``MARK``: 1 main text, 0 anything else.
 
     The article of a real page is the main text.  It gets a container as sites use
     them, and around and inside it boilerplate of every kind, made of the page's own
     words so that only structure and form tell the two apart.
     """
+    page = page.replace(MARK, "")
     found = _ARTICLE.search(page)
     if not found:
         return None
@@ -48,7 +49,7 @@ def labelled_page(page: str, rng: random.Random) -> str | None:
     say = lambda a, b: _part(rng, words, a, b)
     link = lambda: f"<a href='/{rng.randrange(99)}'>{say(1, 3)}</a>"
     links = lambda n: "<ul>" + "".join(f"<li>{link()}</li>" for _ in range(n)) + "</ul>"
-    no = "data-label='0'"
+    no = "data-crf-label='0'"
     before = [
         f"<nav {no}>{links(rng.randint(2, 7))}</nav>",
         f"<div class='menu' {no}>{links(rng.randint(2, 7))}</div>",
@@ -83,12 +84,12 @@ def labelled_page(page: str, rng: random.Random) -> str | None:
         body = body[:cut] + some + body[cut:]
     head, tail = rng.choice(
         [
-            ("<article data-label='1'>", "</article>"),
-            ("<main data-label='1'><article>", "</article></main>"),
-            ("<div class='content' data-label='1'>", "</div>"),
-            ("<main data-label='1'>", "</main>"),
-            ("<div class='post-content' data-label='1'>", "</div>"),
-            ("<article data-label='1'>", "</article>"),
+            ("<article data-crf-label='1'>", "</article>"),
+            ("<main data-crf-label='1'><article>", "</article></main>"),
+            ("<div class='content' data-crf-label='1'>", "</div>"),
+            ("<main data-crf-label='1'>", "</main>"),
+            ("<div class='post-content' data-crf-label='1'>", "</div>"),
+            ("<article data-crf-label='1'>", "</article>"),
         ]
     )
     return (
@@ -107,7 +108,7 @@ def train_extractor(pages: list[str], copies: int = 2) -> Crf:
         for _ in range(copies):
             marked = labelled_page(page, rng)
             if marked is not None:
-                blocks = leaf_blocks(marked)
+                blocks = leaf_blocks(marked, True)
                 sequences.append(features(blocks))
                 labels.append([b.label or 0 for b in blocks])
     order = list(range(len(sequences)))
@@ -137,14 +138,13 @@ def extract_pages(
     """
     (text,) = fresh(pages, "text")
     whole = F.col(body).cast("string")
-    sample = (
-        pages.where(whole.contains("<article"))
-        .select(F.xxhash64(F.lit(_SEED), page_id, F.md5(whole.cast("binary"))).alias("h"), whole.alias("page"))
-        .orderBy("h", "page")
-        .limit(training_pages)
-        .collect()
+    hashed = pages.where(whole.contains("<article")).select(
+        F.xxhash64(F.lit(_SEED), page_id, F.md5(whole.cast("binary"))).alias("h"), whole.alias("page")
     )
-    model = train_extractor([r["page"] for r in sample])
+    # hashes are compared first, so that only the pages picked travel
+    picked = [r["h"] for r in hashed.select("h").orderBy("h").limit(training_pages).collect()]
+    sample = hashed.where(F.col("h").isin(picked)).groupBy("h").agg(F.first("page").alias("page"))
+    model = train_extractor([r["page"] for r in sample.orderBy("h").collect()])
 
     @F.pandas_udf("string")
     def extract(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

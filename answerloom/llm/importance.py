@@ -131,7 +131,8 @@ def importance_resample(
     good = (F.col("quality") == 1) & (F.col("toxic") == 0)
     raw = _counts(plain.select(ngram_buckets(F.col("body"), buckets).alias("grams")), "grams", buckets)
     target = _counts(known.where(good & (F.col("half") == 0)), "grams", buckets)
-    ratios = log_ratios(target, raw, prior=8.0 * buckets)
+    # smoothing must not outweigh what a small sample of labels says
+    ratios = log_ratios(target, raw, prior=max(1.0, min(8.0 * buckets, sum(target) / 4.0)))
     table = F.from_json(F.lit(json.dumps(ratios)), "array<double>")
     value = F.aggregate("grams", F.lit(0.0), lambda a, b: a + F.get(table, b))
     held = (

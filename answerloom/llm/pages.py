@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 _PIECE = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|template|noscript|iframe|svg|math|textarea)\b[^>]*?"
+    r"|<(?P<raw>script|style|template|noscript|iframe|svg|textarea)\b[^>]*?"
     r"(?:/>|>.*?(?:</(?P=raw)\s*[^>]*>|\Z))"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)",
@@ -18,7 +19,8 @@ _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp "
-    "small span strike strong sub sup time tt u var wbr img".split()
+    "small span strike strong sub sup time tt u var wbr img "
+    "math mi mn mo mtext mrow msup msub mfrac msqrt semantics".split()
 )
 #: An opening tag ends an open element of these kinds first.
 _ENDS = {
@@ -52,6 +54,11 @@ _BLOCKY = frozenset(
 )
 
 
+#: Elements that may stand in a head; any other opening tag ends it.
+_IN_HEAD = frozenset("head title base link meta style script noscript template".split())
+#: Attribute by which pages for training say what is main text; pages of others never have it read.
+MARK = "data-crf-label"
+
 _ASIDE = frozenset("nav footer aside form header button select dialog".split())
 
 
@@ -59,7 +66,7 @@ _ASIDE = frozenset("nav footer aside form header button select dialog".split())
 class Block:
     text: str
     tag: str
-    ancestors: tuple[str, ...]
+    ancestors: frozenset[str]
     keys: frozenset[str]
     linked: int
     label: int | None
@@ -68,7 +75,7 @@ class Block:
 class _Open:
     __slots__ = ("tag", "keys", "label")
 
-    def __init__(self, tag: str, rest: str) -> None:
+    def __init__(self, tag: str, rest: str, marked: bool) -> None:
         self.tag = tag
         keys: set[str] = set()
         self.label = None
@@ -82,19 +89,23 @@ class _Open:
                         for part in re.split(r"[-_]+", word):
                             if part in _KEY_OF:
                                 keys.add(_KEY_OF[part])
-                elif name == "data-label":
+                elif marked and name == MARK:
                     self.label = int(value)
         self.keys = keys
 
 
-def leaf_blocks(page: str) -> list[Block]:
+def leaf_blocks(page: str, marked: bool = False) -> list[Block]:
     """Text blocks in page order.  Scripts, styles, comments and the head have none.
 
     Inside a block character references are decoded and white space is one space.
-    Broken markup never fails: unclosed elements end with their parents.
+    Broken markup never fails: unclosed elements end with their parents, and a head or title
+    ends where an element opens that cannot stand in it.  The labels of ``MARK`` are read only if
+    ``marked``.  Open tags and keys are counted, so depth costs nothing.
     """
     blocks: list[Block] = []
     stack: list[_Open] = []
+    tags: Counter[str] = Counter()
+    above: Counter[str] = Counter()
     buffer: list[str] = []
     linked = 0
     anchors = 0
@@ -103,22 +114,25 @@ def leaf_blocks(page: str) -> list[Block]:
         nonlocal linked
         if buffer:
             text = " ".join(entities.unescape("".join(buffer)).split())
-            if text and not any(o.tag in ("head", "title") for o in stack):
-                names = [o.tag for o in stack if o.tag not in _INLINE]
-                keys = frozenset(k for o in stack for k in o.keys)
-                label = next((o.label for o in reversed(stack) if o.label is not None), None)
-                blocks.append(
-                    Block(text, names[-1] if names else "", tuple(names), keys, linked, label)
-                )
+            if text and not tags["head"] and not tags["title"]:
+                nearest = next((o.tag for o in reversed(stack) if o.tag not in _INLINE), "")
+                around = frozenset(t for t, n in tags.items() if n and t in _BLOCKY)
+                keys = frozenset(k for k, n in above.items() if n)
+                label = None
+                if marked:
+                    label = next((o.label for o in reversed(stack) if o.label is not None), None)
+                blocks.append(Block(text, nearest, around, keys, linked, label))
             buffer.clear()
         linked = 0
 
     def end(tag: str) -> None:
         nonlocal anchors
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i].tag == tag:
-                anchors -= sum(o.tag == "a" for o in stack[i:])
-                del stack[i:]
+        while tags[tag]:
+            o = stack.pop()
+            tags[o.tag] -= 1
+            above.subtract(o.keys)
+            anchors -= o.tag == "a"
+            if o.tag == tag:
                 return
 
     last = 0
@@ -152,11 +166,14 @@ def leaf_blocks(page: str) -> list[Block]:
                         break
                     if o.tag in _WALLS:
                         break
-            if tag == "body":
+            if tag not in _IN_HEAD:
                 end("head")
+                end("title")
         if m.group("rest").endswith("/"):
             continue
-        stack.append(_Open(tag, m.group("rest")))
+        stack.append(_Open(tag, m.group("rest"), marked))
+        tags[tag] += 1
+        above.update(stack[-1].keys)
         anchors += tag == "a"
     if last < len(page):
         buffer.append(page[last:])
@@ -175,7 +192,7 @@ def features(blocks: list[Block]) -> list[list[str]]:
     for i, b in enumerate(blocks):
         words = b.text.count(" ") + 1
         f = ["bias", f"tag={b.tag}", f"words={_bin(words, (3, 8, 20, 50))}"]
-        f += [f"in={t}" for t in {t for t in b.ancestors if t in _BLOCKY}]
+        f += [f"in={t}" for t in b.ancestors]
         f += [f"key={k}" for k in b.keys]
         f.append(f"links={_bin(b.linked / max(1, len(b.text)), (0.01, 0.3, 0.7))}")
         f.append(f"stop={b.text[-1] in '.!?:;\"”»…'}")

@@ -57,13 +57,13 @@ def op4_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to a content-addressed WARC archive and read back."""
     path = new_path(spark, "warc")
     write_archive(_table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
-    refers = F.regexp_extract(header_field("header", "WARC-Refers-To"), r"record:(\d+)>", 1)
+    refers = F.regexp_extract(header_field("header", "WARC-Refers-To"), r"record:(-?\d+)>", 1)
     return read_archive(spark, path).select(
         F.col("record_id").alias("page_id"),
         F.octet_length("payload").cast("bigint").alias("payload_bytes"),
         sha1_base32(F.col("payload")).alias("payload_digest"),
         header_field("header", "WARC-Type").alias("record_type"),
-        refers.cast("bigint").alias("refers_to"),
+        refers.try_cast("bigint").alias("refers_to"),
     )
 
 

@@ -77,3 +77,12 @@ def test_damage_is_noticed(spark, tmp_path):
 
 def test_empty(spark, tmp_path):
     assert read(spark, spark.createDataFrame([], PAGES), str(tmp_path / "a")).collect() == []
+
+
+def test_ids_below_zero(spark, tmp_path):
+    from answerloom.llm.queries import op4_content_archive
+
+    rows = [(-5, "u", "same"), (-3, "u", "same"), (2, "u", "same"), (None, "u", "own")]
+    spark.createDataFrame(rows, PAGES).write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in op4_content_archive(spark, str(tmp_path)).collect()}
+    assert got == {-5: ("response", None), -3: ("revisit", -5), 2: ("revisit", -5), None: ("response", None)}

@@ -44,7 +44,7 @@ def test_held_out_boilerplate():
     rng = random.Random(9)
     wrong = total = 0
     for page in pages(200)[100:]:
-        blocks = leaf_blocks(labelled_page(page, rng))
+        blocks = leaf_blocks(labelled_page(page, rng), True)
         found = model.viterbi(features(blocks))
         wrong += sum(a != (b.label or 0) for a, b in zip(found, blocks, strict=True))
         total += len(blocks)
@@ -68,3 +68,21 @@ def test_viterbi_is_the_best_path():
         assert abs(score(s, model.viterbi(s)) - max(score(s, y) for y in paths)) < 1e-9
     hits = sum(model.viterbi(s) == y for s, y in zip(data, marks))
     assert hits >= 28
+
+
+def test_attributes_and_broken_heads():
+    """Attributes of the page's own never stop the parser; text after an unclosed head is text."""
+    cell = leaf_blocks("<table><td data-label=\"Price\">12</td><td data-crf-label='x'>a</td></table>")
+    assert [(b.text, b.label) for b in cell] == [("12", None), ("a", None)]
+    for page in ("<head><title>t</title><p>whole text", "<head><title>t<p>whole text", "<title>t</title><div>whole text</div>"):
+        assert [b.text for b in leaf_blocks(page)] == ["whole text"]
+    assert leaf_blocks("<p>so <math><mi>x</mi></math> is</p>")[0].text == "so x is"
+
+
+def test_depth_costs_nothing():
+    import time
+
+    page = "<div><p>text" * 20_000
+    start = time.perf_counter()
+    assert len(leaf_blocks(page)) == 20_000
+    assert time.perf_counter() - start < 5

@@ -1,12 +1,17 @@
 """Each stage keeps the columns and works on what the one before kept."""
 
+import random
+
 import corpus_pipeline
 from pyspark.sql import functions as F
 
 
 def table(make_docs, spark, tmp_path):
-    prose = "the river ran past the old mill and on to the sea where boats {} lay at anchor in the year {}."
-    rows = [(i, prose.format(f"x{i}", i) + f"\nsecond line {i * 7919} of its own text", f"s{i % 3}") for i in range(60)]
+    # lines of different documents are unlike by edit similarity, or the lines stage would drop them
+    rng = random.Random(3)
+    words = "the river ran past an old mill and on to sea where boats lay at anchor in quiet water while we sang".split()
+    prose = lambda n: " ".join(rng.choices(words, k=n)) + "."
+    rows = [(i, f"{prose(25)}\n{prose(12)}", f"s{i % 3}") for i in range(60)]
     rows += [(100 + i, "buy$$$ now*** {} cheap### deal%%% click&&&".format(i), "s0") for i in range(20)]
     rows += [(200, rows[0][1], "s1"), (201, None, None), (202, "", "s1"), (203, "shared line of two\n" + rows[1][1], "s2")]
     df = make_docs(rows).withColumn("row", F.lit("r"))
