@@ -51,23 +51,39 @@ def documents_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = F.when(
         F.expr("substr(source, 4)").cast("int") % 2 == 0, F.lit("Aaa")
     ).otherwise(F.lit("Bbb"))
-    text = F.regexp_replace("text", r"\A[\x09-\x0D\x20]+", "")
-    line = F.substring_index(text, "\n", 1)
-    nothing = r"\A[\x09-\x0D\x20]*\z"
-    single = text.substr(F.length(line) + 1, F.length(text)).rlike(nothing)
-    first = F.when(single, F.regexp_extract(line, r"\A[^\x09-\x0D\x20]+", 0)).otherwise(line)
-    rest = text.substr(F.length(first) + 1, F.length(text))
-    return documents(spark, sf_dir).select(
+    return documents(spark, sf_dir).withColumn("qa", _question_and_answer(F.col("text"))).select(
         "doc_id",
         F.concat(F.lit("ID_"), F.col("doc_id").cast("string")).alias("ID"),
-        first.alias("input"),
-        F.when(single & rest.rlike(nothing), first).otherwise(rest).alias("output"),
+        "qa.input",
+        "qa.output",
         F.concat(
             F.upper(F.substring("lang", 1, 1)), F.expr("substr(lang, 2)"), F.lit("_"), region
         ).alias("subset"),
     )
 
 
+def _question_and_answer(text: Column) -> Column:
+    """Struct (input, output); ``let`` keeps whole texts from being cut several times."""
+
+    def left(x: Column) -> Column:
+        return F.ltrim(x, F.lit(" \t\n\x0b\x0c\r"))
+
+    def behind(x: Column, head: Column) -> Column:
+        return x.substr(F.length(head) + 1, F.length(x))
+
+    def by_word(line: Column) -> Column:
+        word = F.regexp_extract(line, r"\A[^\x09-\x0D\x20]+", 0)
+        rest = behind(line, word)
+        return F.struct(word.alias("input"), F.when(left(rest) == "", word).otherwise(rest).alias("output"))
+
+    def by_line(t: Column) -> Column:
+        line = F.substring_index(t, "\n", 1)
+        parts = F.struct(line.alias("input"), behind(t, line).alias("output"))
+        return let(parts, lambda x: F.when(left(x["output"]) == "", by_word(x["input"])).otherwise(x))
+
+    return let(left(text), by_line)
+
+
 def documents_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean QA rows with ``generation`` and the fixed ``split`` label."""
     ten = F.col("doc_id") % 10

@@ -49,15 +49,17 @@ def late(answer: str, n: str) -> str:
 
 # -- corpora ---------------------------------------------------------------------
 
-RAW = r"""bare as (
- select *, string_split(t,chr(10))[1] as line from
-  (select *, regexp_replace(text,'\A[\x09-\x0D\x20]+','') as t from documents)),
+_BLANKS = "concat(' ',chr(9),chr(10),chr(11),chr(12),chr(13))"
+
+RAW = rf"""bare as (
+ select *, ltrim(substr(t,length(line)+1),{_BLANKS})='' as single from
+  (select *, string_split(t,chr(10))[1] as line from (select *, ltrim(text,{_BLANKS}) as t from documents))),
 heads as (
- select *, case when single then regexp_extract(line,'\A[^\x09-\x0D\x20]+') else line end as first from
-  (select *, regexp_matches(substr(t,length(line)+1),'\A[\x09-\x0D\x20]*\z') as single from bare)),
+ select *, case when single then regexp_extract(line,'\A[^\x09-\x0D\x20]+') else line end as first from bare),
 raw as (
  select doc_id, concat('ID_',doc_id) as ID, first as input,
-  case when single and regexp_matches(substr(t,length(first)+1),'\A[\x09-\x0D\x20]*\z') then first else substr(t,length(first)+1) end as output,
+  case when single and ltrim(substr(line,length(first)+1),{_BLANKS})='' then first
+   when single then substr(line,length(first)+1) else substr(t,length(first)+1) end as output,
   concat(upper(substr(lang,1,1)),substr(lang,2),'_',
    case when cast(substr(source,4) as int)%2=0 then 'Aaa' else 'Bbb' end) as subset
  from heads)"""
