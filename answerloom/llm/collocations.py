@@ -28,8 +28,8 @@ FILTER_BITS = 1 << 26
 LONGEST = 4
 #: Join keys that each row of a looked-up table is spread over, as common words are in many phrases.
 SALTS = 8
-_SLICE = 1 << 19
-_HELD = 1 << 20
+_SLICE = 1 << 18
+_HELD = 1 << 19
 _IDS = ["w1", "w2", "w3", "w4"]
 _U = np.uint64
 
