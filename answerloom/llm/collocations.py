@@ -30,6 +30,8 @@ LONGEST = 4
 SALTS = 8
 _SLICE = 1 << 18
 _HELD = 1 << 19
+#: Ids of a stored list, or a little more.
+_LIST = 64
 _IDS = ["w1", "w2", "w3", "w4"]
 _U = np.uint64
 
@@ -186,24 +188,39 @@ def _count(width: int, ranks: _Ranks, bits: np.ndarray, names: list[str]):
     return run
 
 
+def _row_runs(ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(first, last) position of runs of whole rows with about ``_SLICE`` values."""
+    first = 0
+    while first < len(ends) - 1:
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] + _SLICE, side="right")) - 1)
+        yield int(ends[first]), int(ends[last])
+        first = last
+
+
 def _keep_frequent(bits: np.ndarray):
-    """Lists of ids with 0 for words that are surely rare, one 0 at a time, and one at the end."""
+    """Ids with 0 for words that are surely rare, one 0 at a time, in short lists that end with 0.
+
+    A 0 ends a piece wherever it stands, so lists need not be documents; short ones keep
+    batches small.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("ids")
-            ends = column.offsets.to_numpy()
-            ids = column.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]]
-            doc = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
-            keep = np.where(_passes(bits, xxhash_longs([np.ascontiguousarray(ids)])), ids, 0)
-            idle = keep == 0
-            drop = idle.copy()
-            drop[1:] &= idle[:-1] & (doc[1:] == doc[:-1])
-            keep, doc = keep[~drop], doc[~drop]
-            sizes = np.bincount(doc, minlength=len(ends) - 1)
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keep))
-            yield pa.RecordBatch.from_arrays([lists], ["ids"]).filter(pa.array(sizes > 2))
+            values = column.values.to_numpy(zero_copy_only=False)
+            for start, end in _row_runs(column.offsets.to_numpy()):
+                ids = np.ascontiguousarray(values[start:end])
+                ids = np.where(_passes(bits, xxhash_longs([ids])), ids, 0)
+                idle = ids == 0
+                again = idle.copy()
+                again[1:] &= idle[:-1]
+                ids = ids[~again]
+                # every document ends with a 0, and so does the last list
+                breaks = np.flatnonzero(ids == 0) + 1
+                part = breaks // _LIST
+                offsets = np.append(0, breaks[np.append(part[1:] != part[:-1], True)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([lists], ["ids"])
 
     return run
 
