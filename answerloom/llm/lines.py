@@ -1,7 +1,9 @@
-"""Fuzzy line deduplication: sketches of shared parts, edit similarity, groups."""
+"""Fuzzy line deduplication: SimHash, pigeonhole blocks, edit similarity, groups."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,18 +11,19 @@ from answerloom.llm.frames import fresh, let, text_of, whole_row
 from answerloom.llm.groups import connect, only_possible
 from answerloom.sources.staging import stage
 
-#: Two lines are alike if their edit similarity is at least SIMILARITY.  Their SimHashes may
-#: differ in any number of bits: one changed word of a short line moves a third of them.
-DISTANCE = 64
+#: Two lines are alike if their edit similarity is at least SIMILARITY and their SimHash codes
+#: agree in a block and differ in at most FAR bits (lines that share no word differ in half).
 SIMILARITY = 0.8
-#: Lines are compared if they share one of: the SHINGLES smallest hashes of three words in a
-#: row; three neighbours among the WORDS smallest hashes of words; in lines of at most
-#: SHORT words also two neighbours among the GRAMS smallest hashes of four characters, and in
-#: lines of at most TINY words all words but one.
-SHINGLES, WORDS, GRAMS, SHORT, TINY = 12, 14, 12, 12, 8
-#: Sixty-four counters of SimHash in eight lanes of 8 bits, for so many words at once.
-_CHUNK = 127
-_NARROW = 0x0101010101010101
+#: Shorter words are in most lines and would make unrelated codes agree.
+LETTERS = 4
+#: A code has PARTS times 64 bits; BLOCKS blocks of WIDTH bits are cut from it.
+PARTS, WIDTH, FAR = 4, 28, 80
+BLOCKS = PARTS * 64 // WIDTH
+#: Codes that differ in at most so many bits agree in a block (pigeonhole principle).
+DISTANCE = BLOCKS - 1
+#: Votes of so many words fit lanes of 8 bits, with a bit to spare for the sign.
+_CHUNK = 63
+_BYTES, _EVERY_FOURTH, _PAIR = 0x0101010101010101, 0x000000FF000000FF, 0x0000000100000001
 
 
 def normalised(line: Column) -> Column:
@@ -28,100 +31,77 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
 
 
-def simhash(line: Column) -> Column:
-    """64-bit SimHash of a normalised line's words: bit ``i`` is set if more than half of
-    the words' xxhash64 values have it set."""
-
-    each = range(8)
-
-    def lanes(hashes: Column) -> Column:
-        zero = F.struct(*[F.lit(0).cast("bigint").alias(f"c{i}") for i in each])
-        return F.aggregate(
-            hashes,
-            zero,
-            lambda acc, h: F.struct(
-                *[
-                    (acc[f"c{i}"] + F.shiftrightunsigned(h, i).bitwiseAND(F.lit(_NARROW))).alias(f"c{i}")
-                    for i in each
-                ]
-            ),
-        )
-
-    def bits(hashes: Column) -> Column:
-        chunks = F.transform(
-            F.sequence(F.lit(0), F.floor((F.size(hashes) - 1) / _CHUNK).cast("int")),
-            lambda c: lanes(F.slice(hashes, c * _CHUNK + 1, F.lit(_CHUNK))),
-        )
+def simhash(lines: DataFrame) -> DataFrame:
+    """(node, c0, c1, ...): SimHash codes of (node, line), ``PARTS`` times 64 bits a line.
 
-        def code(parts: Column) -> Column:
-            def votes_for(b: int) -> Column:
-                return F.aggregate(
-                    parts,
-                    F.lit(0).cast("bigint"),
-                    lambda n, p: n
-                    + F.shiftrightunsigned(p[f"c{b % 8}"], b - b % 8).bitwiseAND(F.lit(0xFF)),
-                )
-
-            out = F.lit(0).cast("bigint")
-            for b in range(64):
-                votes = votes_for(b)
-                set_bit = F.lit(-(1 << 63) if b == 63 else 1 << b).cast("bigint")
-                out = out.bitwiseOR(F.when(2 * votes > F.size(hashes), set_bit).otherwise(F.lit(0).cast("bigint")))
-            return out
-
-        return let(chunks, code)
-
-    return let(F.transform(F.split(line, " "), lambda w: F.xxhash64(w)), bits)
+    Bit ``b`` of part ``j`` is set if more than half of the line's words of LETTERS letters or more
+    (of all words, if there is none) have it set in ``xxhash64(word, j)``.  Votes on eight bits are added up in one long for up to 63 words; longer
+    lines add those up, two bits in a long.
+    """
+    spaces = F.length("line") - F.length(F.replace("line", F.lit(" ")))
+    # told apart before the words are rows
+    kinds = lines.select(
+        "node",
+        "line",
+        (spaces >= _CHUNK).alias("long"),
+        (~F.col("line").rlike(rf"\S{{{LETTERS}}}")).alias("all"),
+    )
+    words = kinds.select(
+        "node", "long", "all", F.posexplode(F.split("line", " ")).alias("at", "word")
+    ).where(F.col("all") | (F.length("word") >= LETTERS))
+    hashes = words.select(
+        "node",
+        "long",
+        F.expr(f"at div {_CHUNK}").alias("chunk"),
+        *[F.xxhash64("word", F.lit(j)).alias(f"h{j}") for j in range(PARTS)],
+    )
+    lanes = [(j, i) for j in range(PARTS) for i in range(8)]
+    packed = hashes.groupBy("node", "long", "chunk").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[
+            F.sum(F.shiftrightunsigned(f"h{j}", i).bitwiseAND(F.lit(_BYTES))).alias(f"v{j}_{i}")
+            for j, i in lanes
+        ],
+    )
+    wide = packed.where("long").groupBy("node").agg(
+        F.sum("n").alias("n"),
+        *[
+            F.sum(F.shiftrightunsigned(f"v{j}_{i}", 8 * s).bitwiseAND(F.lit(_EVERY_FOURTH))).alias(
+                f"v{j}_{i + 8 * s}"
+            )
+            for j, i in lanes
+            for s in range(4)
+        ],
+    )
+    return _codes(packed.where("not long"), 8, 6, _BYTES).unionByName(_codes(wide, 32, 30, _PAIR))
 
 
-def block_keys(line: Column) -> Column:
-    """Keys of a normalised line; lines that share none are not compared.
+def _codes(votes: DataFrame, lanes: int, top: int, ones: int) -> DataFrame:
+    """Codes from votes in ``lanes`` columns a part: bit ``top`` of a lane is set by more votes
+    than half of ``n`` if what is missing to it is added; ``ones`` has bit 0 of each lane set."""
+    lift = ((F.lit((1 << top) - 1) - F.floor(F.col("n") / 2)) * ones).alias("lift")
 
-    Kinds of key whose parts also occur in unrelated lines carry a class of length, and that
-    of the next class too, so that lengths within SIMILARITY still meet.
-    """
-    size = F.floor(F.log(F.length(line).cast("double")) / F.log(F.lit(1 / SIMILARITY)) + 1e-9).cast("bigint")
+    def part(j: int) -> Column:
+        bits = (
+            F.shiftleft(F.shiftrightunsigned(F.col(f"v{j}_{b}") + F.col("lift"), top).bitwiseAND(F.lit(ones)), b)
+            for b in range(lanes)
+        )
+        return reduce(Column.bitwiseOR, bits).alias(f"c{j}")
 
-    def least(hashes: Column, n: int) -> Column:
-        return F.slice(F.sort_array(F.array_distinct(hashes)), 1, n)
+    return votes.select("*", lift).select("node", *[part(j) for j in range(PARTS)])
 
-    def runs(values: Column, n: int, salt: int) -> Column:
-        """Hashes of all ``n`` values in a row; fewer values are one run."""
-        ends = F.sequence(F.lit(0), F.greatest(F.size(values) - n, F.lit(0)))
-        return F.transform(
-            ends, lambda i: F.xxhash64(*[F.get(values, i + k) for k in range(n)], F.lit(salt))
-        )
 
-    def sized(keys: Column) -> Column:
-        return F.concat(*[F.transform(keys, lambda k: F.xxhash64(k, size + d)) for d in (0, 1)])  # noqa: B023
-
-    def keys(words: Column) -> Column:
-        hashes = F.transform(words, lambda w: F.xxhash64(w))
-        none = F.array().cast("array<bigint>")
-
-        def by_words(h: Column) -> Column:
-            shared = let(least(h, WORDS), lambda x: sized(runs(x, 3, 2)))
-            less_one = F.concat(
-                F.array(F.xxhash64(h, F.lit(3))),
-                F.transform(
-                    F.sequence(F.lit(0), F.size(h) - 1),
-                    lambda i: F.xxhash64(F.filter(h, lambda _, k: k != i), F.lit(3)),
-                ),
-            )
-            return F.concat(
-                least(runs(h, 3, 1), SHINGLES),
-                F.when(F.size(h) > TINY, shared).otherwise(none),
-                F.when((F.size(h) > 1) & (F.size(h) <= TINY), less_one).otherwise(none),
-            )
+def block_keys() -> Column:
+    """The blocks of a code in ``c0``, ``c1``, ..., each marked with its number."""
 
-        letters = F.transform(F.split(F.concat(F.lit(" "), line, F.lit(" ")), ""), lambda c: F.ascii(c))
-        grams = let(letters, lambda c: least(runs(c, 4, 4), GRAMS))
-        pairs = let(grams, lambda x: sized(runs(x, 2, 5)))
-        return F.concat(
-            let(hashes, by_words), F.when(F.size(words) <= SHORT, pairs).otherwise(none)
-        )
+    def block(t: int) -> Column:
+        j, skip = divmod(t * WIDTH, 64)
+        value = F.shiftrightunsigned(f"c{j}", skip)
+        if skip + WIDTH > 64:
+            value = value.bitwiseOR(F.shiftleft(F.col(f"c{j + 1}"), 64 - skip))
+        return value.bitwiseAND(F.lit((1 << WIDTH) - 1)) + F.lit(t << WIDTH)
 
-    return F.array_distinct(let(F.split(line, " "), keys))
+    return F.array(*[block(t) for t in range(BLOCKS)])
 
 
 def _common_prefix(a: Column, b: Column) -> Column:
@@ -166,14 +146,18 @@ def _middles(a: Column, b: Column) -> tuple[Column, Column]:
 def alike(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """Rows of (a, b) whose lines are alike.
 
-    ``lines`` has (node, line).  Lengths too far apart end first; only the other lines are
-    fetched.
+    ``lines`` has (node, line) and the codes.  Lengths or codes too far apart end first; only
+    the other lines are fetched.
     """
-    x, y = (lines.select(F.col("node").alias(k), F.length("line").alias(f"n{k}")) for k in "ab")
-    longer, shorter = F.greatest("na", "nb"), F.least("na", "nb")
-    near = stage(
-        pairs.join(x, "a").join(y, "b").where(shorter >= SIMILARITY * longer).select("a", "b"), "near-lengths"
+    parts = [f"c{j}" for j in range(PARTS)]
+    x, y = (
+        lines.select(F.col("node").alias(k), F.length("line").alias(f"n{k}"), F.struct(*parts).alias(f"c{k}"))
+        for k in "ab"
     )
+    longer, shorter = F.greatest("na", "nb"), F.least("na", "nb")
+    differ = sum((F.bit_count(F.col(f"ca.{c}").bitwiseXOR(F.col(f"cb.{c}"))) for c in parts), F.lit(0))
+    close = (shorter >= SIMILARITY * longer) & (differ <= FAR)
+    near = stage(pairs.join(x, "a").join(y, "b").where(close).select("a", "b"), "near-codes")
     x, y = (lines.select(F.col("node").alias(k), F.col("line").alias(f"l{k}")) for k in "ab")
     most = F.floor((1 - SIMILARITY) * F.greatest(F.length("la"), F.length("lb"))).cast("int")
     # -1 beyond the limit, where counting ends early
@@ -184,9 +168,9 @@ def alike(pairs: DataFrame, lines: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with repeated lines taken out of ``text``; ``n_lines`` and ``n_dropped`` added.
 
-    Lines are split at \\n.  Lines that are equal after normalisation, or alike (see
-    SIMILARITY) and share a key of :func:`block_keys`, are linked; of each connected group the occurrence with the
-    smallest id, text hash and line number stays (null ids first), all others go, also within
+    Lines are split at \\n.  Lines that are equal after normalisation, or alike (edit similarity
+    of at least SIMILARITY, a block of the SimHash in common, which codes within DISTANCE bits
+    have, and no more than FAR bits apart), are linked; of each connected group the occurrence with the smallest id, text hash and line number stays (null ids first), all others go, also within
     a text.  Lines without letters or digits stay as they are.  Rows with the same id and
     text count as one document and keep the same lines.  A null text stays null, an empty
     one empty; a text that loses all lines becomes empty.  All rows and other columns
@@ -206,19 +190,22 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     marked = lines_with_words(docs).where("line <> ''")
     places = stage(marked.select(*keys), "line-places")
-    unique = stage(
-        marked.groupBy("node").agg(
-            F.min(F.struct("id", "row", "number")).alias("first"),
-            F.first("line").alias("line"),
-            F.count(F.lit(1)).alias("n"),
-        ),
-        "line-nodes",
+    unique = marked.groupBy("node").agg(
+        F.min(F.struct("id", "row", "number")).alias("first"),
+        F.first("line").alias("line"),
+        F.count(F.lit(1)).alias("n"),
     )
-    members = unique.select(F.explode(block_keys(F.col("line"))).alias("bucket"), "node")
-    lines = unique.select("node", "line")
-    labels = stage(connect(members, lambda pairs: alike(pairs, lines)), "line-labels")
-    grouped = unique.drop("line").join(labels, "node", "left").where("n > 1 or label is not null").select(
-        "node", F.coalesce("label", "node").alias("label"), "first"
+    # codes are counted where the lines already are: one shuffle serves both sides of the join,
+    # if both use all its columns
+    used = unique.where("n > 0 and first.row is not null").select("node", "line")
+    unique = stage(unique.join(simhash(used), "node"), "line-nodes")
+    members = unique.select(F.explode(block_keys()).alias("bucket"), "node")
+    labels = stage(connect(members, lambda pairs: alike(pairs, unique)), "line-labels")
+    grouped = (
+        unique.select("node", "first", "n")
+        .join(labels, "node", "left")
+        .where("n > 1 or label is not null")
+        .select("node", F.coalesce("label", "node").alias("label"), "first")
     )
     keepers = grouped.groupBy("label").agg(F.min("first").alias("keep"))
     repeated = stage(grouped.join(keepers, "label").select("node", "keep"), "repeated-lines")

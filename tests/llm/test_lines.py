@@ -2,11 +2,12 @@
 
 import random
 import re
+import struct
 
 import xxhash
 from pyspark.sql import functions as F
 
-from answerloom.llm.lines import DISTANCE, SIMILARITY, dedup_lines, normalised, simhash
+from answerloom.llm.lines import BLOCKS, DISTANCE, FAR, LETTERS, PARTS, SIMILARITY, WIDTH, dedup_lines, normalised, simhash
 
 
 def norm(line):
@@ -18,9 +19,22 @@ def signed(n):
 
 
 def code(line):
+    """The parts of a code, from bit 0 of part 0 on, as one number."""
     words = line.split(" ")
-    values = [xxhash.xxh64(w.encode(), seed=42).intdigest() for w in words]
-    return sum((2 * sum(v >> b & 1 for v in values) > len(words)) << b for b in range(64))
+    words = [w for w in words if len(w) >= LETTERS] or words
+    whole = [xxhash.xxh64(w.encode(), seed=42).intdigest() for w in words]
+    out = 0
+    for j in range(PARTS):
+        values = [xxhash.xxh64(struct.pack("<i", j), seed=v).intdigest() for v in whole]
+        for b in range(64):
+            out |= (2 * sum(v >> b & 1 for v in values) > len(words)) << (64 * j + b)
+    return out
+
+
+def meet(a, b):
+    """Whether two codes agree in a block."""
+    other = a ^ b
+    return any(other >> WIDTH * t & (1 << WIDTH) - 1 == 0 for t in range(BLOCKS))
 
 
 def edits(a, b):
@@ -47,7 +61,9 @@ def brute(docs):
 
     for i, a in enumerate(order):
         for b in order[:i]:
-            if bin(codes[a] ^ codes[b]).count("1") <= DISTANCE:
+            near = bin((codes[a] ^ codes[b]) & (1 << WIDTH * BLOCKS) - 1).count("1") <= DISTANCE
+            assert meet(codes[a], codes[b]) or not near
+            if meet(codes[a], codes[b]) and bin(codes[a] ^ codes[b]).count("1") <= FAR:
                 long, short = max(len(a), len(b)), min(len(a), len(b))
                 if short >= SIMILARITY * long and edits(a, b) <= (1 - SIMILARITY) * long:
                     top[find(a)] = find(b)
@@ -98,11 +114,14 @@ def test_against_all_pairs(make_docs):
 
 
 def test_simhash_and_normal_form(spark):
-    texts = ["One, two!  THREE", "a " * 70_000 + "b", "Été 42 -- naïve", "x"]
-    df = spark.createDataFrame([(t,) for t in texts], "t string").select(
-        normalised(F.col("t")).alias("n"), simhash(normalised(F.col("t"))).alias("c")
+    texts = ["One, two!  THREE", "a " * 70_000 + "b", "Été 42 -- naïve", "x", " ".join(map(str, range(1000, 1126)))]
+    df = spark.createDataFrame(list(enumerate(texts)), "node long, t string").select(
+        "node", normalised(F.col("t")).alias("line")
     )
-    assert [(r["n"], r["c"]) for r in df.collect()] == [(norm(t), signed(code(norm(t)))) for t in texts]
+    assert [r["line"] for r in df.orderBy("node").collect()] == [norm(t) for t in texts]
+    got = {r["node"]: list(r)[1:] for r in simhash(df).collect()}
+    parts = lambda n: [signed(n >> 64 * j & (1 << 64) - 1) for j in range(PARTS)]
+    assert got == {i: parts(code(norm(t))) for i, t in enumerate(texts)}
 
 
 def test_edge_cases(spark, make_docs, clashing):
@@ -134,8 +153,8 @@ def test_hot_line(make_docs):
 
 
 def test_changed_words_at_every_length(make_docs):
-    """Lines of 8 to 60 words with up to a fifth of the words replaced, or letters mistyped,
-    against all pairs by edit similarity alone."""
+    """Lines of 8 to 60 words with up to a fifth of the words replaced, or letters mistyped:
+    all pairs whose codes meet are found, and no others."""
     rng = random.Random(11)
     words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(3000)]
     pairs = []
@@ -155,5 +174,8 @@ def test_changed_words_at_every_length(make_docs):
     linked = [p for p in pairs if edits(*p) <= (1 - SIMILARITY) * max(map(len, p))]
     assert len(linked) > 90
     docs = [(k * len(linked) + i, p[k]) for k in (0, 1) for i, p in enumerate(linked)]
-    left = {i for i, text in rows(dedup_lines(make_docs(docs))) if text}
-    assert left == set(range(len(linked)))
+    found = rows(dedup_lines(make_docs(docs)))
+    assert found == expected(docs)
+    # one word in ten of a short line moves the code too far, one of a long line does not
+    gone = {i - len(linked) for i, text in found if not text}
+    assert {i for i, p in enumerate(linked) if p[0] == p[1]} <= gone and len(gone) > 20
