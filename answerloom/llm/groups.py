@@ -11,6 +11,10 @@ from answerloom.sources.staging import stage
 
 #: Bits of the filter that keeps rows without a partner out of a shuffle (4 MB).
 _FILTER_BITS = 1 << 25
+#: Nodes of a bucket that others are tested against before pairs are formed.
+PIVOTS = 3
+#: Rounding of distances.
+_SLACK = 1e-9
 
 
 def only_possible(
@@ -77,16 +81,34 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(got)
 
 
-def connect(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def connect(
+    members: DataFrame,
+    measure: Callable[[DataFrame], DataFrame],
+    reach: float | None = None,
+    weigh: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """(node, label) of nodes that share a verified link, directly or through others.
 
-    ``members`` has (bucket, node), every node of a bucket being a candidate of the others;
-    ``verify`` keeps the rows of (a, b) that are links.  First every node is tested against the
-    smallest node of its buckets.  Then only pairs of one bucket that are not
-    yet connected are left, and all of them are tested but for those within the
-    bucket's largest group.  So every link between two groups is found, and a bucket of
-    many copies costs a pair for each, not for each two.
+    ``members`` has (bucket, node), every node of a bucket being a candidate of the others.
+    ``measure`` keeps the rows of (a, b) that are links; with ``reach`` it returns all of them
+    with their distance ``far``, a metric, and those within ``reach`` are links.  ``weigh`` gives
+    (node, total, own) for a table of nodes: the weight of all parts of a node, and of those that no
+    other of these nodes has; ``far`` is then one less the weighted Jaccard similarity.
+
+    First every node is tested against the smallest node of its buckets, so a bucket of many
+    copies costs a pair for each, not for each two.  Where a bucket still holds several groups,
+    nodes outside the group of a pivot are tested against it, for PIVOTS pivots a bucket.  What
+    is left then are pairs of one bucket in different groups, neither of them a pivot.  All of them
+    are tested, less those that surely are no links: their distances to the smallest node of the
+    bucket differ by more than ``reach`` (triangle inequality), or what both may have in common,
+    the smaller rest of a total less its own part, is too little for the similarity.
     """
+
+    def tested(pairs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        """All measured pairs, and the links among them."""
+        found = stage(measure(stage(pairs, f"{name}-pairs")), f"{name}-links")
+        return found, (found if reach is None else found.where(F.col("far") <= reach)).select("a", "b")
+
     shared = stage(
         members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("rep")).where("n > 1").drop("n"),
         "buckets",
@@ -95,30 +117,82 @@ def connect(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> Dat
         only_possible(members, "bucket", shared).join(shared, "bucket"), "bucket-members"
     )
     pairs = crowd.where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
-    links = stage(verify(stage(pairs, "first-pairs")).select("a", "b"), "first-links")
+    found, links = tested(pairs, "first")
     labels = stage(components(links), "first-labels")
-    # where a bucket still holds several groups
-    known = crowd.select("bucket", "node").join(labels, "node", "left").select(
-        "bucket", "node", F.coalesce("label", "node").alias("label")
+    mixed = _mixed(crowd, labels)
+    least = None if weigh is None else 1.0 - reach
+    if weigh is not None:
+        sums = stage(weigh(mixed.select("node").distinct()), "node-weights")
+        # the others have too much of their own to be like any node
+        sums = sums.where(F.col("total") - F.col("own") >= (least - _SLACK) * F.col("total"))
+        crowd = stage(crowd.join(mixed.select("bucket").distinct(), "bucket").join(sums, "node"), "weighed")
+        mixed = _mixed(crowd, labels)
+    chosen = _smallest(mixed.select("bucket", F.xxhash64("node", F.lit(7)).alias("h"), F.col("node").alias("pivot"), "label"))
+    chosen = stage(chosen, "pivots")
+    pairs = (
+        mixed.join(chosen.withColumnRenamed("label", "theirs"), "bucket")
+        .where("label <> theirs")
+        .select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b"))
+        .distinct()
     )
-    sizes = known.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    tops = (
-        sizes.groupBy("bucket")
-        .agg(F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("groups"))
-        .where("groups > 1")
-        .select("bucket", F.col("top.label").alias("top"))
+    _, more = tested(pairs, "second")
+    links = links.unionByName(more)
+    labels = stage(components(links), "second-labels")
+    # nodes that have been measured against the whole bucket are done with
+    done = chosen.select("bucket", F.col("pivot").alias("node"), F.lit(True).alias("done"))
+    mixed = _mixed(crowd, labels).join(done, ["bucket", "node"], "left").where("done is null and node <> rep")
+    if reach is None:
+        near = mixed.withColumn("far", F.lit(0.0)).withColumn("cell", F.lit(0))
+    else:
+        far = found.select(F.col("a").alias("node"), F.col("b").alias("rep"), "far")
+        near = mixed.join(far, ["node", "rep"]).withColumn("cell", F.floor(F.col("far") / reach).cast("int"))
+    known = ["node", "label", "far", *(["total", "own"] if weigh else [])]
+    near = stage(near.select("bucket", "cell", "top", *known), "mixed-buckets")
+    cells = F.array(*([F.lit(0)] if reach is None else [F.col("cell") + k for k in (-1, 0, 1)]))
+    small = near.where("label <> top").select(
+        "bucket", F.explode(cells).alias("cell"), *[F.col(c).alias(f"{c}_x") for c in known], "top"
     )
-    mixed = stage(known.join(tops, "bucket"), "mixed-buckets")
-    small = mixed.where("label <> top").select("bucket", F.col("node").alias("x"), F.col("label").alias("lx"))
-    other = mixed.select("bucket", F.col("node").alias("y"), F.col("label").alias("ly"))
+    # two nodes outside the largest group meet from both sides; one of them is enough
+    twice = (F.col("label") != F.col("top")) & (F.col("node_x") > F.col("node"))
+    possible = F.abs(F.col("far_x") - F.col("far")) <= (reach or 0.0) + _SLACK
+    if weigh is not None:
+        common = F.least(F.col("total_x") - F.col("own_x"), F.col("total") - F.col("own"))
+        possible &= common >= (least - _SLACK) * (F.col("total_x") + F.col("total") - common)
     rest = (
-        small.join(other, "bucket")
-        .where("lx <> ly")
-        .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
+        small.drop("top")
+        .join(near, ["bucket", "cell"])
+        .where((F.col("label_x") != F.col("label")) & ~twice & possible)
+        .select(F.greatest("node_x", "node").alias("a"), F.least("node_x", "node").alias("b"))
         .distinct()
-        .join(pairs, ["a", "b"], "left_anti")
     )
-    more = stage(verify(stage(rest, "second-pairs")).select("a", "b"), "second-links")
+    _, more = tested(rest, "third")
     if more.isEmpty():
         return labels
     return components(links.unionByName(more))
+
+
+def _mixed(crowd: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several groups, with their ``label`` and the bucket's
+    largest group ``top``."""
+    known = crowd.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    sizes = known.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    tops = (
+        sizes.groupBy("bucket")
+        .agg(F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("groups"))
+        .where("groups > 1")
+        .select("bucket", F.col("top.label").alias("top"))
+    )
+    return stage(known.join(tops, "bucket"), "several-groups")
+
+
+def _smallest(members: DataFrame) -> DataFrame:
+    """(bucket, pivot, label): the PIVOTS smallest of each bucket by hash, so that buckets of the same nodes
+    share them.  One aggregation each; no bucket is sorted or gathered."""
+    out, rest = None, members
+    for _ in range(PIVOTS):
+        low = rest.groupBy("bucket").agg(F.min(F.struct("h", "pivot", "label")).alias("low"))
+        low = stage(low.select("bucket", F.col("low.h").alias("after"), "low.pivot", "low.label"), "pivot")
+        found = low.select("bucket", "pivot", "label")
+        out = found if out is None else out.unionByName(found)
+        rest = rest.join(low.select("bucket", "after"), "bucket").where("h > after").drop("after")
+    return out

@@ -189,7 +189,7 @@ def weighted_jaccard(a: tuple, b: tuple, idf: np.ndarray, n: int) -> np.ndarray:
     return common / np.maximum(total - common, 1e-300)
 
 
-def _verify(idf: np.ndarray, threshold: float):
+def _distances(idf: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             # a few pairs at a time bound the memory of long texts
@@ -197,8 +197,20 @@ def _verify(idf: np.ndarray, threshold: float):
                 part = batch.slice(start, 512)
                 sides = [_lists(part.column(c)) for c in ("wa", "wb")]
                 found = weighted_jaccard(*[shingles(v, n) for v, n in sides], idf, part.num_rows)
-                keep = pa.array(found >= threshold)
-                yield part.select(["a", "b"]).filter(keep)
+                yield part.select(["a", "b"]).append_column("far", pa.array(1.0 - found))
+
+    return run
+
+
+def _parts_of(idf: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = batch.column("node").to_numpy()
+            values, lengths = _lists(batch.column("words"))
+            for first, last, part in _parts(values, lengths, _CHUNK):
+                row, shingle, times = shingles(part, lengths[first:last])
+                columns = [nodes[first:last][row], shingle.view(np.int64), times * idf[cells(shingle)]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["node", "shingle", "weight"])
 
     return run
 
@@ -228,24 +240,41 @@ def near_duplicates(
         worded.mapInArrow(_bands(idf), "bucket bigint, node bigint").distinct(), "bands"
     )
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        texts = stage(
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        found = (
             only_possible(source.select("node", "body"), "node", nodes)
             .join(nodes, "node")  # a semi-join would go below the filter
             .groupBy("node")
-            .agg(F.first("body").alias("body")),
-            "near-texts",
+            .agg(F.first("body").alias("body"))
         )
+        return stage(found, "near-texts")
+
+    def weights(nodes: DataFrame) -> DataFrame:
+        """(node, total, own): weight of all shingles, and of those that no other node has."""
+        worded = texts_of(nodes).select("node", word_hashes(F.col("body")).alias("words"))
+        parts = stage(worded.mapInArrow(_parts_of(idf), "node bigint, shingle bigint, weight double"), "near-shingles")
+        own = (
+            parts.groupBy("shingle")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("weight").alias("own"))
+            .where("n = 1")
+            .groupBy("node")
+            .agg(F.sum("own").alias("own"))
+        )
+        total = parts.groupBy("node").agg(F.sum("weight").alias("total"))
+        return total.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0.0)))
+
+    def distances(pairs: DataFrame) -> DataFrame:
+        texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         x, y = (texts.select(F.col("node").alias(k), F.col("body").alias(f"t{k}")) for k in "ab")
         return (
             pairs.join(x, "a")
             .join(y, "b")
             .select("a", "b", word_hashes(F.col("ta")).alias("wa"), word_hashes(F.col("tb")).alias("wb"))
-            .mapInArrow(_verify(idf, similarity), "a bigint, b bigint")
+            .mapInArrow(_distances(idf), "a bigint, b bigint, far double")
         )
 
-    labels = stage(connect(members, verify), "near-labels")
+    # one less the weighted Jaccard similarity is a metric
+    labels = stage(connect(members, distances, 1.0 - similarity + 1e-9, weights), "near-labels")
     empty = F.octet_length("body") == 0
     rows = stage(source.select("doc_id", "node", empty.alias("empty")), "near-rows")
     known = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

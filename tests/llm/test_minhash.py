@@ -106,3 +106,23 @@ def test_crowd_in_one_bucket(make_docs):
     words = [f"w{i}" for i in range(200)]
     df = make_docs([(i, " ".join(words[:100] + [f"own{i}"] + words[100:])) for i in range(300)])
     assert {c for _, c, _ in classes(df)} == {0}
+
+
+def test_family_of_unlike_copies(spark, make_docs):
+    """Copies with 0 to 25 % of their words replaced: some pairs are links, most are not, and
+    all of them meet in the same buckets."""
+    rng = random.Random(21)
+    words = [f"w{i}" for i in range(5000)]
+    base = rng.choices(words, k=150)
+    docs = []
+    for i in range(160):
+        own = list(base)
+        at, n = rng.randrange(100), rng.choice([0, 1, 2, 3, 5, 8, 12, 20, 35])
+        # half of them change a run of words, others words here and there
+        for k in range(at, at + n) if i % 2 else rng.sample(range(150), n):
+            own[k] = rng.choice(words)
+        docs.append((i, " ".join(own)))
+    df = make_docs(docs)
+    found = classes(df)
+    assert found == brute(spark, df)
+    assert 1 < len({c for _, c, _ in found}) < 160
