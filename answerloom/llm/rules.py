@@ -116,10 +116,12 @@ def default_rules() -> list[Rule]:
 
 
 def order_rules(sample: DataFrame, rules: Sequence[Rule]) -> list[Rule]:
-    """``rules`` by the share of ``sample`` that they reject per second, best first."""
-    shares = sample.agg(
-        *[F.avg(r.reject.cast("double")).alias(f"r{i}") for i, r in enumerate(rules)]
-    ).first()
+    """``rules`` by the rows of ``sample`` that they reject per second, best first.
+
+    Each place goes to the best rule on the rows that the rules before it leave.
+    """
+    flags = [F.coalesce(r.reject, F.lit(False)).alias(f"r{i}") for i, r in enumerate(rules)]
+    left = sample.groupBy(*flags).count().collect()  # at most a row for each of the sample
 
     def seconds(value: Column) -> float:
         start = time.perf_counter()
@@ -129,8 +131,13 @@ def order_rules(sample: DataFrame, rules: Sequence[Rule]) -> list[Rule]:
     seconds(F.col("n_words") > 0)
     idle = seconds(F.col("n_words") > 0)
     costs = [max(seconds(r.reject) - idle, 0.001) for r in rules]
-    scores = [(shares[f"r{i}"] or 0.0) / costs[i] for i in range(len(rules))]
-    return [rules[i] for i in sorted(range(len(rules)), key=lambda i: -scores[i])]
+    order, open_rules = [], list(range(len(rules)))
+    while open_rules:
+        best = max(open_rules, key=lambda i: (sum(r["count"] for r in left if r[f"r{i}"]) / costs[i], -i))
+        open_rules.remove(best)
+        order.append(rules[best])
+        left = [r for r in left if not r[f"r{best}"]]
+    return order
 
 
 def cascade(
@@ -160,7 +167,9 @@ def cascade(
     if rules:
         total = max(1, docs.count())
         part = docs.select(text_of(text).alias("body")).sample(min(1.0, sample_rows / total), seed)
-        rules = order_rules(stage(with_base(part), "rule-sample"), rules)
+        # the rules judge only rows that pass the base test
+        judged = with_base(part).where(~base_failed())
+        rules = order_rules(stage(judged, "rule-sample"), rules)
     verdict = F.when(F.col("base_failed"), False)
     for rule in rules:
         verdict = verdict.when(rule.reject, False)

@@ -46,3 +46,11 @@ def test_strong_cheap_rules_come_first(make_docs):
     never = Rule("never", F.regexp_count(F.repeat("body", F.lit(3000)), F.lit("y")) > 0)
     always = Rule("always", F.col("n_words") > 0)
     assert [r.name for r in order_rules(df, [never, always])] == ["always", "never"]
+
+
+def test_rules_are_placed_by_what_is_left(make_docs):
+    """A rule that only repeats what another one rejects comes last, however much that is."""
+    df = make_docs([(i, "x") for i in range(300)])
+    many = [Rule(name, F.col("doc_id") < 200) for name in ("one", "same")]
+    order = order_rules(df.withColumn("n_words", F.lit(1)), [*many, Rule("other", F.col("doc_id") >= 280)])
+    assert len(order) == 3 and order[-1].name in {"one", "same"}
