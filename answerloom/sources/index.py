@@ -21,7 +21,7 @@ from answerloom.names import ID, QUESTION, SUBSET
 from answerloom.operators import retrieval
 from answerloom.operators.corpus import subset_or_null
 from answerloom.operators.retrieval import EVERYTHING, Index, own_index
-from answerloom.sources.staging import publish_text, stage
+from answerloom.sources.staging import publish_text, scratch, stage
 
 _FITTED = ("groups", "sizes", "terms", "blocks")
 
@@ -70,10 +70,17 @@ def _by_index(table: DataFrame, groups: DataFrame) -> DataFrame:
     return table.join(own, F.col("subset") == F.col("own"), "left").withColumn("grp", F.explode(both)).drop("own")
 
 
-def _fit(spark: SparkSession, path: str, manifest: dict) -> Index:
+def _fit(spark: SparkSession, path: str, manifest: dict) -> None:
+    """Write the fitted tables of a version."""
+
+    def save(table: DataFrame, name: str) -> DataFrame:
+        to = f"{path}/fitted/{manifest['version']}/{name}"
+        table.write.mode("overwrite").parquet(to)
+        return spark.read.schema(table.schema).parquet(to)
+
     entries = _segments(spark, path, manifest, "entries")
     sizes = entries.where("subset <> ''").groupBy("subset").agg(F.sum("copies").alias("n"))
-    groups = stage(sizes.where("n >= 2").select(F.col("subset").alias(SUBSET)), "groups")
+    groups = save(sizes.where("n >= 2").select(F.col("subset").alias(SUBSET)), "groups")
     merged = (
         _by_index(entries, groups)
         .groupBy("grp", "key")
@@ -94,13 +101,12 @@ def _fit(spark: SparkSession, path: str, manifest: dict) -> Index:
         .agg(F.sum("df").alias("df"), F.sum("tf").alias("tf"))
     )
     rows = _segments(spark, path, manifest, "rows")
-    return retrieval.fit(groups, numbered.drop("grams"), counts, stage(stats, "stats"), rows, manifest["cap"])
+    retrieval.fit(groups, numbered.drop("grams"), counts, stage(stats, "stats"), rows, manifest["cap"], save)
 
 
 def _publish(spark: SparkSession, path: str, manifest: dict) -> None:
-    index = _fit(spark, path, manifest)
-    for name in _FITTED:
-        getattr(index, name).write.mode("overwrite").parquet(f"{path}/fitted/{manifest['version']}/{name}")
+    with scratch(spark):
+        _fit(spark, path, manifest)
     publish_text(spark, f"{path}/manifest-{manifest['version']}", json.dumps(manifest))
 
 

@@ -1,5 +1,6 @@
 """The stored index and the stream that is answered from it."""
 
+import os
 import random
 
 import pytest
@@ -8,6 +9,7 @@ from test_retrieval import brute_force, corpus, same
 
 from answerloom.operators import retrieval
 from answerloom.sources.index import append_rows, load_index, manifests, save_index
+from answerloom.sources.staging import workspace
 from answerloom.streaming.answers import answer_batch, answer_stream, question_stream
 
 TRAIN = "ID string, input string, output string, subset string"
@@ -111,3 +113,14 @@ def test_few_pairs_are_completed(spark):
     assert opened < 0.5 and completed < 0.05
     unlike = shares([text() for _ in range(30)])[1]
     assert unlike < 0.8
+
+
+def test_publishing_leaves_no_second_copy(spark, tmp_path):
+    rows = [(f"i{n}", f"word{n} and more", "a", "S") for n in range(20)]
+    train = spark.createDataFrame(rows, "ID string, input string, output string, subset string")
+    root = workspace(spark).removeprefix("file:")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    save_index(train, str(tmp_path / "index"))
+    left = set(os.listdir(root)) - before if os.path.isdir(root) else set()
+    assert not left
+    assert {r[0] for r in load_index(spark, str(tmp_path / "index")).blocks.select("grp").collect()} == {"*", "=S"}
