@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from answerloom.functions.arrays import records
-from answerloom.functions.rouge import f1, lcs_length, overlap
+from answerloom.functions.rouge import common_tokens, f1
 from answerloom.functions.text import tokenize_ws
 from answerloom.names import ANSWER, SUBSET
 
@@ -22,9 +22,10 @@ def score_pairs(df: DataFrame, prediction: str, reference: str = ANSWER) -> Data
         df.withColumns(
             {"__p": tokenize_ws(F.col(prediction)), "__r": tokenize_ws(F.col(reference))}
         )
-        .withColumn("rouge1_f1", f1(overlap(p, r), F.size(p), F.size(r)))
-        .withColumn("rougeL_f1", f1(lcs_length(p, r), F.size(p), F.size(r)))
-        .drop("__p", "__r")
+        .withColumn("__n", common_tokens(p, r))
+        .withColumn("rouge1_f1", f1(F.col("__n.overlap"), F.size(p), F.size(r)))
+        .withColumn("rougeL_f1", f1(F.col("__n.lcs"), F.size(p), F.size(r)))
+        .drop("__p", "__r", "__n")
     )
 
 

@@ -125,3 +125,19 @@ def test_expressions_stay_streamable(spark, tmp_path):
     q = out.writeStream.format("memory").queryName("prompts").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert [r["p"] for r in spark.table("prompts").collect()] == ["Swahili: a b"]
+
+
+def test_lcs_turns_few_rows_at_a_time_into_objects(spark, monkeypatch):
+    """Batches stay in Arrow; null tokens and empty lists count, too."""
+    from pyspark.sql import functions as F
+
+    from answerloom.functions.rouge import lcs_length
+
+    made = []
+    plain = F.pandas_udf
+    monkeypatch.setattr(F, "pandas_udf", lambda *a, **b: made.append(a) or plain(*a, **b))
+    rows = [(n, ["a", "b", "c"] * (n % 3), ["b", "x", "c", "a"]) for n in range(150)]
+    df = spark.createDataFrame(rows, "n int, a array<string>, b array<string>").coalesce(1)
+    got = {r[0]: r[1] for r in df.select("n", lcs_length(F.col("a"), F.col("b"))).collect()}
+    assert got == {n: (0, 2, 3)[n % 3] for n in range(150)}
+    assert not made
