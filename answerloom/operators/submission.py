@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from answerloom.functions.text import clean_strip
 from answerloom.names import ID, SUBMISSION_COLUMNS
 from answerloom.sources.staging import publish, remove
-from answerloom.sources.tables import write_csv
+from answerloom.sources.tables import TEXT_ROWS, write_csv
 
 MIN_CHARS = 5
 _TARGETS = SUBMISSION_COLUMNS[1:]
@@ -222,6 +222,6 @@ def write_submission(
     if one_file:
         out = out.coalesce(1)
     if fmt == "csv":
-        write_csv(out, path, "overwrite")
+        write_csv(out, path, "overwrite", 0 if one_file else TEXT_ROWS)
     else:
         out.write.mode("overwrite").format(fmt).save(path)

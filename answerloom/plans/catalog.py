@@ -138,9 +138,9 @@ def _write_splits(spark: SparkSession, sf_dir: str) -> str:
     ten = F.col("doc_id") % 10
     test = rows.where(ten == 9)
     # columns are found by name, in any order
-    tables.write_csv(rows.where(ten < 8).select(*QA[::-1]), f"{folder}/Train.csv")
-    tables.write_csv(rows.where(ten == 8).select(*QA), f"{folder}/Val.csv")
-    tables.write_csv(test.select(ID, QUESTION, SUBSET), f"{folder}/Test.csv")
+    tables.write_csv(rows.where(ten < 8).select(*QA[::-1]), f"{folder}/Train.csv", rows=tables.TEXT_ROWS)
+    tables.write_csv(rows.where(ten == 8).select(*QA), f"{folder}/Val.csv", rows=tables.TEXT_ROWS)
+    tables.write_csv(test.select(ID, QUESTION, SUBSET), f"{folder}/Test.csv", rows=tables.TEXT_ROWS)
     blank = test.select(
         ID, *[F.lit("?").alias(c) for c in SUBMISSION_COLUMNS[1:]]
     )
@@ -151,7 +151,7 @@ def _write_splits(spark: SparkSession, sf_dir: str) -> str:
 @query
 def load_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "train-csv")
-    tables.write_csv(_csv_rows(spark, sf_dir).select(SUBSET, QUESTION, "doc_id", ANSWER, ID), path)
+    tables.write_csv(_csv_rows(spark, sf_dir).select(SUBSET, QUESTION, "doc_id", ANSWER, ID), path, rows=tables.TEXT_ROWS)
     return tables.load_split(spark, path)
 
 

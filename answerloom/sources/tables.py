@@ -26,6 +26,8 @@ SPLIT_FILES = {
     "sample_submission": "SampleSubmission.csv",
 }
 
+TEXT_ROWS = 10_000  # rows of texts in a CSV file
+
 RUN_LOG = T.StructType(
     [
         T.StructField(name, T.DoubleType() if name in ("rouge1_f1", "rougeL_f1", "combined") else T.StringType())
@@ -97,9 +99,12 @@ def read_csv(
     )
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
-    """Header CSV directory; blanks inside cells survive (Spark trims by default)."""
-    df.write.mode(mode).csv(
+def write_csv(df: DataFrame, path: str, mode: str = "error", rows: int = 0) -> None:
+    """Header CSV directory; blanks inside cells survive (Spark trims by default).
+
+    A file holds at most ``rows`` rows (0: any number), as one task reads it whole.
+    """
+    df.write.mode(mode).option("maxRecordsPerFile", rows).csv(
         path,
         header=True,
         quote='"',

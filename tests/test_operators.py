@@ -426,3 +426,30 @@ def test_sketches_merge(spark):
     row = stats.sketched_uniqueness(stats.answer_sketches(large)).where("subset = 'x'").first()
     assert row["unique_answers"] == pytest.approx(200_000, rel=0.03) and row["by_hll"] == pytest.approx(200_000, rel=0.03)
     assert row["elsewhere"] == 0
+
+
+def test_csv_files_of_texts_are_bounded(spark, tmp_path, monkeypatch):
+    """One task reads a file whole, so a file must not grow with the table."""
+    monkeypatch.setattr(submission, "TEXT_ROWS", 10)
+    rows = [(f"I{n:03d}", f"some\ntext {n}") for n in range(95)]
+    made = spark.createDataFrame(rows, "ID string, prediction string").coalesce(1)
+    path = str(tmp_path / "out")
+    submission.write_submission(submission.submission_rows(made), path)
+    back = tables.read_csv(spark, path, submission.submission_rows(made).schema)
+    assert sorted((r["ID"], r["TargetLLM"]) for r in back.collect()) == rows
+    parts = [p for p in (tmp_path / "out").iterdir() if p.name.startswith("part-")]
+    assert len(parts) >= 10
+
+
+def test_words_are_looked_up_in_bounded_slices(spark, monkeypatch):
+    """Slices of a batch give the same ids as the whole batch."""
+    rows = [(f"I{n}", "a b c" if n % 3 else "", f"d x{n % 5} a") for n in range(23)]
+    pairs = spark.createDataFrame(rows, "ID string, prompt string, answer string").coalesce(1)
+    both = pairs.selectExpr("concat_ws(' ', prompt, answer) text")
+    words = encoding.word_vocabulary(both, "text").localCheckpoint()
+
+    def coded(n):
+        monkeypatch.setattr(encoding, "_CODED", n)
+        return sorted(map(tuple, encoding.encode_examples(pairs, words, head=2).collect()), key=repr)
+
+    assert coded(4) == coded(1000) and len(coded(1)) == 23
