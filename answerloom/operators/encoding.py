@@ -22,6 +22,7 @@ PAD = 0  # id of padding
 UNKNOWN = 1  # id of words outside the vocabulary
 IGNORED = -100  # label value the loss skips
 MAX_INPUT, MAX_TARGET = 256, 512
+_CODED = 500  # rows whose words are looked up at a time
 HEAD_WORDS = 1 << 15  # most frequent words, which go to every task
 
 
@@ -106,7 +107,7 @@ def _code_head(known: pa.ChunkedArray, ids: pa.ChunkedArray):
     known, ids = known.combine_chunks(), ids.combine_chunks().to_numpy()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, _CODED) for b in batches for at in range(0, b.num_rows, _CODED)):
             n = batch.num_rows
             sides = [batch.column("i"), batch.column("t")]
             words = pa.concat_arrays([s.flatten() for s in sides])
