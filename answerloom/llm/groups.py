@@ -92,8 +92,9 @@ def connect(
     ``members`` has (bucket, node), every node of a bucket being a candidate of the others.
     ``measure`` keeps the rows of (a, b) that are links; with ``reach`` it returns all of them
     with their distance ``far``, a metric, and those within ``reach`` are links.  ``weigh`` gives
-    (node, total, own) for a table of nodes: the weight of all parts of a node, and of those that no
-    other of these nodes has; ``far`` is then one less the weighted Jaccard similarity.
+    (node, total, own, spots) for a table of nodes: the weight of all parts of a node, of those that no
+    other of these nodes has, and of the others by cell of a hash of the part (an array of one length
+    for all nodes); ``far`` is then one less the weighted Jaccard similarity.
 
     First every node is tested against the smallest node of its buckets, so a bucket of many
     copies costs a pair for each, not for each two.  Where a bucket still holds several groups,
@@ -101,7 +102,8 @@ def connect(
     is left then are pairs of one bucket in different groups, neither of them a pivot.  All of them
     are tested, less those that surely are no links: their distances to the smallest node of the
     bucket differ by more than ``reach`` (triangle inequality), or what both may have in common,
-    the smaller rest of a total less its own part, is too little for the similarity.
+    cell by cell the smaller weight of the parts that are not their own, is too little for the
+    similarity.  The join compares these weights, so such pairs are never rows.
     """
 
     def tested(pairs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
@@ -146,7 +148,7 @@ def connect(
     else:
         far = found.select(F.col("a").alias("node"), F.col("b").alias("rep"), "far")
         near = mixed.join(far, ["node", "rep"]).withColumn("cell", F.floor(F.col("far") / reach).cast("int"))
-    known = ["node", "label", "far", *(["total", "own"] if weigh else [])]
+    known = ["node", "label", "far", *(["total", "own", "spots"] if weigh else [])]
     near = stage(near.select("bucket", "cell", "top", *known), "mixed-buckets")
     cells = F.array(*([F.lit(0)] if reach is None else [F.col("cell") + k for k in (-1, 0, 1)]))
     small = near.where("label <> top").select(
@@ -156,8 +158,13 @@ def connect(
     twice = (F.col("label") != F.col("top")) & (F.col("node_x") > F.col("node"))
     possible = F.abs(F.col("far_x") - F.col("far")) <= (reach or 0.0) + _SLACK
     if weigh is not None:
-        common = F.least(F.col("total_x") - F.col("own_x"), F.col("total") - F.col("own"))
-        possible &= common >= (least - _SLACK) * (F.col("total_x") + F.col("total") - common)
+        # common >= least * (sum of totals - common), first by the smaller rest alone
+        needed = (least - _SLACK) / (1 + least) * (F.col("total_x") + F.col("total"))
+        possible &= F.least(F.col("total_x") - F.col("own_x"), F.col("total") - F.col("own")) >= needed
+        shared_weight = F.aggregate(
+            F.zip_with("spots_x", "spots", lambda x, y: F.least(x, y)), F.lit(0.0), lambda n, w: n + w
+        )
+        possible &= shared_weight >= needed
     rest = (
         small.drop("top")
         .join(near, ["bucket", "cell"])

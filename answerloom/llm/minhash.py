@@ -22,6 +22,8 @@ BANDS, ROWS = 16, 4
 CELLS = 1 << 18
 #: Shingles that are sampled together, so that arrays stay in cache.
 _CHUNK = 1 << 15
+#: Cells of a text's shingles whose weights bound what two texts have in common.
+SPOTS = 64
 _U = np.uint64
 
 
@@ -250,21 +252,31 @@ def near_duplicates(
         return stage(found, "near-texts")
 
     def weights(nodes: DataFrame) -> DataFrame:
-        """(node, total, own): weight of all shingles, and of those that no other node has."""
+        """(node, total, own, spots): weight of all shingles, of those that no other node has, and
+        of the others by cell."""
         worded = texts_of(nodes).select("node", word_hashes(F.col("body")).alias("words"))
         parts = stage(worded.mapInArrow(_parts_of(idf), "node bigint, shingle bigint, weight double"), "near-shingles")
-        own = (
-            parts.groupBy("shingle")
-            .agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("weight").alias("own"))
-            .where("n = 1")
+        alone = parts.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
+        alone = stage(alone.where("n = 1").select("shingle", "node"), "own-shingles")
+        spot = F.pmod("shingle", F.lit(SPOTS)).cast("int")
+        cells_of = (
+            parts.join(alone.withColumn("single", F.lit(True)), ["shingle", "node"], "left")
+            .groupBy("node", F.when(F.col("single"), -1).otherwise(spot).alias("spot"))
+            .agg(F.sum("weight").alias("weight"))
             .groupBy("node")
-            .agg(F.sum("own").alias("own"))
+            .agg(F.sum("weight").alias("total"), F.map_from_entries(F.collect_list(F.struct("spot", "weight"))).alias("of"))
+        )
+        at = F.sequence(F.lit(0), F.lit(SPOTS - 1))
+        return cells_of.select(
+            "node",
+            "total",
+            F.coalesce(F.col("of")[-1], F.lit(0.0)).alias("own"),
+            F.transform(at, lambda i: F.coalesce(F.try_element_at("of", i), F.lit(0.0))).alias("spots"),
         )
-        total = parts.groupBy("node").agg(F.sum("weight").alias("total"))
-        return total.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0.0)))
 
     def distances(pairs: DataFrame) -> DataFrame:
-        texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        texts = texts_of(stage(nodes, "near-nodes"))
         x, y = (texts.select(F.col("node").alias(k), F.col("body").alias(f"t{k}")) for k in "ab")
         return (
             pairs.join(x, "a")

@@ -5,6 +5,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
+from answerloom.llm import groups
 from answerloom.llm.minhash import (
     SIMILARITY,
     damped_idf,
@@ -126,3 +127,22 @@ def test_family_of_unlike_copies(spark, make_docs):
     found = classes(df)
     assert found == brute(spark, df)
     assert 1 < len({c for _, c, _ in found}) < 160
+
+
+def test_pairs_that_lack_too_much_are_not_made(monkeypatch, make_docs):
+    """Twins with a run of words of their own, in copies of one text: all meet in the same buckets,
+    no word is in one text alone, and no two families are alike."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(5000)]
+    base = rng.choices(words, k=150)
+    docs = []
+    for i in range(60):
+        own, at = list(base), rng.randrange(130)
+        own[at : at + 18] = rng.choices(words, k=18)
+        docs += [(2 * i, " ".join(own)), (2 * i + 1, " ".join([*own, "more"]))]
+    sizes = {}
+    write = groups.stage
+    monkeypatch.setattr(groups, "stage", lambda df, name, *keys: sizes.__setitem__(name, out := write(df, name, *keys)) or out)
+    found = classes(make_docs(docs))
+    assert len({c for _, c, _ in found}) > 40
+    assert sizes["third-pairs"].count() < 500
