@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -138,35 +137,70 @@ def _offsets(lists: pa.ListArray) -> np.ndarray:
     return offsets - offsets[0]
 
 
-@F.pandas_udf(T.StringType())
-def _spell(ids: pd.Series, known: pd.Series, words: pd.Series) -> pd.Series:
-    """The words of each row's ids, from the words that this row has."""
-
-    def text(row: tuple) -> str:
-        if row[0] is None or row[1] is None:
-            return ""
-        word_of = dict(zip(row[1], row[2], strict=True))
-        return " ".join(word_of[i] for i in row[0] if i in word_of)
-
-    return pd.Series([text(r) for r in zip(ids, known, words, strict=True)], dtype=object)
-
-
-def decode_ids(encoded: DataFrame, vocabulary: DataFrame, column: str, out: str = "text") -> DataFrame:
-    """Add the words of id array ``column``, joined by blanks; ids without a word are left out.
+def _spell(first: pa.ChunkedArray, first_ids: pa.ChunkedArray, n: int) -> Callable[..., Column]:
+    """Function of ``n`` id arrays and of the other words that a row has fetched, sorted by id: a struct
+    of the arrays' words, joined by blanks.  The first words of the vocabulary are in every task."""
+    first, first_ids = first.combine_chunks(), first_ids.combine_chunks().to_numpy().astype("int64")
+    few, missing = _CODED, -1
+
+    def sizes(lists: pa.ListArray) -> np.ndarray:
+        return pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype("int64")
+
+    def key(row: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        # the first words are those of row -1, so that one sorted array serves all
+        return ((row + 1) << 32) + ids
+
+    def words(lists: pa.Array, known: pa.Array) -> pa.Array:
+        rare = known.flatten()
+        spelt = pa.concat_arrays([first, rare.field("word")])
+        own = np.repeat(np.arange(len(known)), sizes(known))
+        keys = np.append(key(np.int64(-1), first_ids), key(own, rare.field("word_id").to_numpy().astype("int64")))
+        row, found = np.repeat(np.arange(len(lists)), sizes(lists)), lists.flatten()
+        ids = pc.fill_null(found, 0).to_numpy().astype("int64")
+        place = np.full(len(ids), missing)
+        for wanted in (key(row, ids), key(np.int64(-1), ids)):
+            at = np.searchsorted(keys, wanted, side="right") - 1  # the last of equal keys
+            hit = (place == missing) & (at >= 0)
+            hit[hit] = keys[at[hit]] == wanted[hit]
+            place[hit] = at[hit]
+        good = (place != missing) & pc.is_valid(found).to_numpy(False)
+        ends = np.append(0, np.cumsum(np.bincount(row[good], minlength=len(lists)))).astype("int32")
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), spelt.take(pa.array(place[good]))), " ")
+
+    def spell(*columns: pa.Array) -> pa.Array:
+        starts = range(0, len(columns[0]), few)
+        parts = [[words(c.slice(at, few), columns[-1].slice(at, few)) for at in starts] for c in columns[:-1]]
+        texts = [pa.concat_arrays(x) if x else pa.array([], pa.string()) for x in parts]
+        return pa.StructArray.from_arrays(texts, [f"c{i}" for i in range(n)])
+
+    return F.arrow_udf(spell, ", ".join(f"c{i} string" for i in range(n)))
+
+
+def decode_ids(
+    encoded: DataFrame, vocabulary: DataFrame, columns: str | Mapping[str, str], out: str = "text", head: int = HEAD_WORDS
+) -> DataFrame:
+    """Add the words of id arrays, joined by blanks; ids without a word are left out.
 
-    Each row fetches a word once, however often it has it.  ``ID`` must be unique.
+    ``columns`` is one id array, decoded to ``out``, or a mapping of id arrays to new names.  The ``head``
+    first words of the vocabulary go to every task; each row fetches any other word once, however
+    often its arrays have it.  ``ID`` must be unique.
     """
-    wanted = encoded.select(ID, F.explode(F.array_distinct(column)).alias("word_id"))
-    words = (
-        wanted.join(vocabulary, "word_id")
+    names = {columns: out} if isinstance(columns, str) else dict(columns)
+    common = F.col("word_id").between(UNKNOWN + 1, head + UNKNOWN)
+    first = vocabulary.where(common).select("word", F.col("word_id").cast("int")).orderBy("word_id", "word").toArrow()
+    empty = F.array().cast("array<int>")
+    ids = F.array_distinct(F.concat(*[F.coalesce(c, empty) for c in names]))
+    rare = encoded.select(ID, F.explode(F.filter(ids, lambda x: ~x.between(UNKNOWN + 1, head + UNKNOWN))).alias("word_id"))
+    known = (
+        rare.join(vocabulary.where(~common), "word_id")
         .groupBy(ID)
-        .agg(F.array_sort(F.collect_list(F.struct("word_id", "word"))).alias("_known"))
-    )
-    return (
-        encoded.join(words, ID, "left")
-        .withColumn(out, F.coalesce(_spell(F.col(column), F.col("_known.word_id"), F.col("_known.word")), F.lit("")))
-        .drop("_known")
+        .agg(F.array_sort(F.collect_list(F.struct(F.col("word_id").cast("int").alias("word_id"), "word"))).alias("_known"))
     )
+    spell = _spell(first.column("word"), first.column("word_id"), len(names))
+    spelt = encoded.join(known, ID, "left").withColumn("_known", spell(*[F.col(c) for c in names], F.col("_known")))
+    # a row without ID fetches no word
+    made = [F.when(F.col(ID).isNull(), "").otherwise(F.col(f"_known.c{i}")) for i in range(len(names))]
+    return spelt.withColumns(dict(zip(names.values(), made, strict=True))).drop("_known")
 
 
 def score_ids(
@@ -183,8 +217,7 @@ def score_ids(
     plain = encoded.withColumns(
         {"_p": prediction_unmask(F.col(predictions)), "_r": label_unmask(F.col(labels))}
     )
-    spelt = decode_ids(stage(plain, "unmasked-ids"), vocabulary, "_p", "prediction")
-    spelt = decode_ids(spelt, vocabulary, "_r", "reference")
+    spelt = decode_ids(stage(plain, "unmasked-ids"), vocabulary, {"_p": "prediction", "_r": "reference"})
     return score(spelt.drop("_p", "_r"), "prediction", "reference")
 
 

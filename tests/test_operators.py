@@ -453,3 +453,19 @@ def test_words_are_looked_up_in_bounded_slices(spark, monkeypatch):
         return sorted(map(tuple, encoding.encode_examples(pairs, words, head=2).collect()), key=repr)
 
     assert coded(4) == coded(1000) and len(coded(1)) == 23
+
+
+def test_decoding_fetches_a_word_once_for_all_arrays(spark):
+    """Both arrays of a row share its rare words, and the first words of the vocabulary are not joined."""
+    words = [(f"w{i}", i) for i in range(2, 50)]
+    vocabulary = spark.createDataFrame(words, "word string, word_id int")
+    rnd = random.Random(4)
+    rows = [(i, [rnd.randint(-2, 60) for _ in range(rnd.randint(0, 40))], [rnd.choice([None, 2, 9, 47, 99])]) for i in range(1200)]
+    rows += [(1200, None, [3]), (1201, [], None)]
+    df = spark.createDataFrame(rows, "ID int, a array<int>, b array<int>").repartition(2)
+    text = lambda ids: " ".join(f"w{i}" for i in ids or [] if i is not None and 2 <= i < 50)
+    for head in (0, 10, 1000):
+        got = {r["ID"]: (r["x"], r["y"]) for r in encoding.decode_ids(df, vocabulary, {"a": "x", "b": "y"}, head=head).collect()}
+        assert got == {i: (text(a), text(b)) for i, a, b in rows}
+    one = encoding.decode_ids(df, vocabulary, "a")
+    assert {r["ID"]: r["text"] for r in one.collect()} == {i: text(a) for i, a, _ in rows}
