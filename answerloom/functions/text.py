@@ -48,8 +48,12 @@ def clean_strip(c: Column) -> Column:
     return strip_ws(_blank(c))
 
 
-def tokenize_ws(c: Column) -> Column:
-    return F.filter(F.split(clean_text(c), " "), lambda t: t != "")
+def tokenize_ws(c: Column, first: int | None = None) -> Column:
+    """Words between whitespace, all or the ``first`` ones; the rest of the text is then not split."""
+    # a blank start gives an empty piece, the last piece is what is left
+    limit = -1 if first is None else first + 2
+    words = F.array_remove(F.split(_blank(c), WS_RUN, limit), "")
+    return words if first is None else F.slice(words, 1, first)
 
 
 def word_count(c: Column) -> Column:

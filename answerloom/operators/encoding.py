@@ -76,8 +76,8 @@ def encode_examples(
     first = vocabulary.where(F.col("word_id") <= head + UNKNOWN).select("word", "word_id").toArrow()
     words = pairs.select(
         ID,
-        F.slice(tokenize_ws(F.col("prompt")), 1, max_input).alias("i"),
-        F.slice(tokenize_ws(F.col("answer")), 1, max_target).alias("t"),
+        tokenize_ws(F.col("prompt"), max_input).alias("i"),
+        tokenize_ws(F.col("answer"), max_target).alias("t"),
     )
     kind = f"`{ID}` {pairs.schema[ID].dataType.simpleString()}, i array<int>, t array<int>, rare array<string>"
     coded = stage(words.mapInArrow(_code_head(first.column("word"), first.column("word_id")), kind), "head-ids")

@@ -577,7 +577,8 @@ def evaluated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _encoded_with_words(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    pairs = corpus.training_pairs(_qa(spark, sf_dir), languages=DEMO_LANGUAGES)
+    # written, as cutting and cleaning whole texts costs more than to read them twice
+    pairs = stage(corpus.training_pairs(_qa(spark, sf_dir), languages=DEMO_LANGUAGES), "training-pairs", ID)
     both = pairs.select(F.concat_ws(" ", "prompt", "answer").alias("text"))
     words = stage(encoding.word_vocabulary(both, "text"), "vocabulary")
     return encoding.encode_examples(pairs, words), words

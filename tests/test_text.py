@@ -141,3 +141,14 @@ def test_lcs_turns_few_rows_at_a_time_into_objects(spark, monkeypatch):
     got = {r[0]: r[1] for r in df.select("n", lcs_length(F.col("a"), F.col("b"))).collect()}
     assert got == {n: (0, 2, 3)[n % 3] for n in range(150)}
     assert not made
+
+
+def test_first_words_leave_the_rest_alone(spark):
+    """The first words of a text with blanks at its ends; what lies behind them is not split."""
+    texts = ["", "  ", " a  b\tc\nd ", "a b", "one", "　x y z", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    for n in (0, 1, 2, 3, 9):
+        got = [r[0] for r in rows.select(T.tokenize_ws(F.col("t"), n)).collect()]
+        assert got == [(t or "").split()[:n] for t in texts]
+    plan = rows.select(T.tokenize_ws(F.col("t"), 3))._jdf.queryExecution().toString()
+    assert ", 5)" in plan and "regexp_replace" not in plan
