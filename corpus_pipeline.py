@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from answerloom.llm.bpe import decode_ids, encode_texts, token_count
+from answerloom.llm.bpe import round_trip, token_count
 from answerloom.llm.importance import importance_resample
 from answerloom.llm.lines import dedup_lines
 from answerloom.llm.minhash import drop_near_duplicates
@@ -51,7 +51,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text of the mix, and whether they decode to the text."""
     blob, pattern = tokenizer()
     slim = docs.select("doc_id", "source", "text")
-    coded = decode_ids(encode_texts(slim, blob, pattern), blob, pattern)
+    coded = round_trip(slim, blob, pattern)
     return coded.select(
         "doc_id",
         "source",

@@ -8,7 +8,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from answerloom.llm.bpe import Codec, decode_ids, encode_texts, parse_ranks, token_count
+from answerloom.llm.bpe import Codec, decode_ids, encode_texts, parse_ranks, round_trip, token_count
 from answerloom.llm.queries import tokenizer
 
 
@@ -67,3 +67,16 @@ def test_frames(spark, make_docs, clashing, pair):
     want = sorted((i or 0, t or "", len(pair[1].encode_ordinary(t or ""))) for i, t in rows)
     assert got == want
     assert encode_texts(make_docs([]), blob, pattern).collect() == []
+
+
+def test_one_worker_encodes_and_decodes(spark, make_docs, clashing):
+    blob, pattern = tokenizer()
+    rows = [(1, None), (2, ""), (3, "two words"), (3, "two words"), (None, "é" * 30)]
+    df = make_docs(rows).withColumns({c: F.lit(c) for c in [*clashing, "token_ids", "both"]})
+    apart = decode_ids(encode_texts(df, blob, pattern), blob, pattern, "_token_ids")
+    out = round_trip(df, blob, pattern)
+    assert out.columns == apart.columns
+    assert sorted(map(str, out.collect())) == sorted(map(str, apart.collect()))
+    plan = out.select("_token_ids", "decoded")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("code(") == 1
+    assert round_trip(make_docs([]), blob, pattern).collect() == []
