@@ -6,6 +6,8 @@ that they consist of.  The ``HEAD`` most frequent of those have ranks; pairs of
 bincount, all other pairs as sorted coordinates.  Frequent pairs are ranked anew for the next
 level.  Only phrases whose parts are frequent can be frequent, so rare parts are left out early by
 bitmaps of fixed size, which may let a rare phrase pass but never lose one; counts are exact.
+Longer phrases are also counted by hash cells first, and those of cells that stay below the threshold
+are left out; a few tasks a core then count the others.
 """
 
 from __future__ import annotations
@@ -26,6 +28,10 @@ HEAD, TILE = 2048, 256
 FILTER_BITS = 1 << 26
 #: Longest phrase.
 LONGEST = 4
+#: Phrases of so many words and more are first counted in CELLS cells by hash (one byte each, 8 MB a
+#: task): the threshold is absolute, so more text makes more of their parts frequent than in proportion.
+SIEVED, CELLS = 3, 1 << 23
+_CELL_PART = 1 << 14
 #: Join keys that each row of a looked-up table is spread over, as common words are in many phrases.
 SALTS = 8
 _SLICE = 1 << 18
@@ -87,7 +93,7 @@ def _filter_of(hashes: DataFrame, name: str) -> np.ndarray:
 
 
 def _passes(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    spot = h & _U(FILTER_BITS - 1)
+    spot = h & _U(8 * len(bits) - 1)
     return (bits[(spot >> _U(3)).astype(np.intp)] >> (spot & _U(7)).astype(np.uint8)) & 1 == 1
 
 
@@ -125,8 +131,63 @@ def _coordinates(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np
     return [c[at] for c in columns], np.add.reduceat(counts, at)
 
 
-def _count(width: int, ranks: _Ranks, bits: np.ndarray, names: list[str]):
-    """Partial counts of phrases of ``width`` words over lists of ids; 0 ends a piece."""
+def _id_slices(batch: pa.RecordBatch, width: int) -> Iterator[np.ndarray]:
+    """The ids of a batch in slices that overlap by ``width`` - 1 ids."""
+    column = batch.column("ids")
+    ends = column.offsets.to_numpy()
+    ids = column.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]]
+    for start in range(0, max(0, len(ids) - width + 1), _SLICE):
+        yield np.ascontiguousarray(ids[start : start + _SLICE + width - 1])
+
+
+def _parts_of(x: np.ndarray, width: int, bits: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Phrases one word shorter than ``width`` at each place, their hashes, whether they may be
+    frequent, and the places at which both parts of a phrase may be."""
+    short = width - 1
+    n = len(x) - short + 1
+    parts = [np.ascontiguousarray(x[i : i + n]) for i in range(short)]
+    h = xxhash_longs(parts)
+    good = np.logical_and.reduce([p != 0 for p in parts])
+    good &= _passes(bits, h)
+    return parts, h, good, np.flatnonzero(good[:-1] & good[1:])
+
+
+def _sieve(lists: DataFrame, width: int, bits: np.ndarray, least: int) -> np.ndarray:
+    """Bitmap of the hash cells with at least ``least`` phrases of ``width`` words whose parts may be
+    frequent; 1 MB comes to the driver.  A cell may hold several phrases, so rare ones may pass."""
+    most = min(least, 255)  # cells count up to that
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(CELLS, dtype=np.uint8)
+        for batch in batches:
+            for x in _id_slices(batch, width):
+                *_, at = _parts_of(x, width, bits)
+                h = xxhash_longs([x[at + i] for i in range(width)])
+                spot, n = np.unique((h & _U(CELLS - 1)).astype(np.int64), return_counts=True)
+                cells[spot] = np.minimum(cells[spot] + n, most)
+        used = {i: c.tobytes() for i, c in enumerate(cells.reshape(-1, _CELL_PART)) if c.any()}
+        columns = [pa.array(list(used), pa.int32()), pa.array(list(used.values()), pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["part", "cells"])
+
+    def full(table: pa.Table) -> pa.Table:
+        cells = np.zeros(_CELL_PART, dtype=np.int64)
+        for given in table.column("cells"):
+            cells += np.frombuffer(given.as_buffer(), dtype=np.uint8)
+        bitmap = np.packbits(cells >= most, bitorder="little").tobytes()
+        return pa.table([table.column("part").slice(0, 1), pa.array([bitmap], pa.binary())], names=["part", "bits"])
+
+    counted = lists.mapInArrow(run, "part int, cells binary")
+    out = np.zeros((CELLS // _CELL_PART, _CELL_PART // 8), dtype=np.uint8)
+    for r in counted.groupBy("part").applyInArrow(full, "part int, bits binary").collect():
+        out[r["part"]] = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
+    return out.ravel()
+
+
+def _count(width: int, ranks: _Ranks, bits: np.ndarray, names: list[str], sieve: np.ndarray | None = None):
+    """Partial counts of phrases of ``width`` words over lists of ids; 0 ends a piece.
+
+    Phrases that ``sieve`` shows to be rare are left out.
+    """
     side = -(-HEAD // TILE)
 
     def out(columns: list[np.ndarray], counts: np.ndarray) -> pa.RecordBatch:
@@ -141,19 +202,11 @@ def _count(width: int, ranks: _Ranks, bits: np.ndarray, names: list[str]):
             return _coordinates(columns, np.concatenate([h[1] for h in held]))
 
         for batch in batches:
-            column = batch.column("ids")
-            ends = column.offsets.to_numpy()
-            ids = column.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]]
-            for start in range(0, max(0, len(ids) - width + 1), _SLICE):
-                x = np.ascontiguousarray(ids[start : start + _SLICE + width - 1])
-                short = width - 1  # words of both parts
-                n = len(x) - short + 1
-                parts = [np.ascontiguousarray(x[i : i + n]) for i in range(short)]
-                h = xxhash_longs(parts)
-                good = np.logical_and.reduce([p != 0 for p in parts])
-                good &= _passes(bits, h)
+            for x in _id_slices(batch, width):
+                parts, h, good, at = _parts_of(x, width, bits)
                 rank = np.where(good, ranks.of(parts, h), -1)
-                at = np.flatnonzero(good[:-1] & good[1:])
+                if sieve is not None:
+                    at = at[_passes(sieve, xxhash_longs([x[at + i] for i in range(width)]))]
                 left, right = rank[at], rank[at + 1]
                 both = (left >= 0) & (right >= 0)
                 left, right = left[both], right[both]
@@ -284,9 +337,13 @@ def collocations(
         if width > 2:
             bits = _filter_of(parts.select(F.xxhash64(*_IDS[: width - 1]).alias("h")), "h")
         ranks = _Ranks([tuple(r)[:-1] for r in head], width - 1)
+        sieve = _sieve(lists, width, bits, least) if width >= SIEVED else None
         schema = ", ".join(f"{c} bigint" for c in [*names, "n"])
+        # a task gives a row for each frequent phrase that it meets: as many tasks as data allow would make
+        # rows grow with the square of the text
+        few = lists.coalesce(2 * lists.sparkSession.sparkContext.defaultParallelism) if sieve is not None else lists
         found = (
-            lists.mapInArrow(_count(width, ranks, bits, names), schema)
+            few.mapInArrow(_count(width, ranks, bits, names, sieve), schema)
             .groupBy(*names)
             .agg(F.sum("n").alias("a"))
             .where(F.col("a") >= least)

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from answerloom.llm import collocations as module
 from answerloom.llm.collocations import collocations, words_and_breaks, xxhash_longs
 from pyspark.sql import functions as F
 
@@ -96,3 +97,34 @@ def test_pieces(spark):
     df = spark.createDataFrame([("Ab C.d,,É\tx\x0by",)], "t string")
     got = df.select(words_and_breaks(F.col("t")).alias("w")).first()["w"]
     assert got == ["ab", "c", "\n", "d", "\n", "É", "x", "\n", "y"]
+
+
+def test_partial_counts_of_rare_phrases_are_not_shuffled(spark, monkeypatch):
+    """Of phrases of four words whose parts are frequent only those of cells that reach the threshold become rows."""
+    rng = random.Random(9)
+    rows = [("en", t) for t in texts(rng, 150, 12, 60)]
+    made = spark.sparkContext.accumulator(0)
+    count = module._count
+
+    def counted(width, *rest):
+        run = count(width, *rest)
+
+        def more(batches):
+            for batch in run(batches):
+                made.add(batch.num_rows if width == module.LONGEST else 0)
+                yield batch
+
+        return more
+
+    monkeypatch.setattr(module, "_count", counted)
+    check(spark, rows, 5)
+    few, made.value = made.value, 0
+    # many phrases in a cell let rare ones pass, and lose none
+    monkeypatch.setattr(module, "CELLS", 64)
+    monkeypatch.setattr(module, "_CELL_PART", 16)
+    check(spark, rows, 5)
+    assert 0 < 2 * few < made.value
+
+
+def test_thresholds_beyond_a_byte(spark):
+    check(spark, [("en", "a b c d e")] * 310 + [("en", "a b c d f")] * 290, 300)
