@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from answerloom.llm.frames import fresh
+from answerloom.sources.staging import small_batches
 
 #: Bytes of different words that one recursive query contracts together.
 WORD_BYTES = 200_000
@@ -265,7 +266,7 @@ def encode_texts(docs: DataFrame, blob: bytes, pattern: str, text: str = "text")
     A name that is taken gets a leading underscore.
     """
     (ids,) = fresh(docs, "token_ids")
-    return docs.withColumn(ids, encoder(blob, pattern)(F.col(text).cast("string")))
+    return small_batches(docs).withColumn(ids, encoder(blob, pattern)(F.col(text).cast("string")))
 
 
 def decode_ids(docs: DataFrame, blob: bytes, pattern: str, ids: str = "token_ids") -> DataFrame:
@@ -274,7 +275,7 @@ def decode_ids(docs: DataFrame, blob: bytes, pattern: str, ids: str = "token_ids
     A name that is taken gets a leading underscore.
     """
     (out,) = fresh(docs, "decoded")
-    return docs.withColumn(out, decoder(blob, pattern)(F.col(ids)))
+    return small_batches(docs).withColumn(out, decoder(blob, pattern)(F.col(ids)))
 
 
 def round_trip(docs: DataFrame, blob: bytes, pattern: str, text: str = "text") -> DataFrame:
@@ -284,7 +285,7 @@ def round_trip(docs: DataFrame, blob: bytes, pattern: str, text: str = "text") -
     Names that are taken get a leading underscore.
     """
     ids, out, both = fresh(docs, "token_ids", "decoded", "both")
-    coded = docs.withColumn(both, coder(blob, pattern)(F.col(text).cast("string")))
+    coded = small_batches(docs).withColumn(both, coder(blob, pattern)(F.col(text).cast("string")))
     return coded.withColumns({ids: F.col(f"{both}.ids"), out: F.col(f"{both}.decoded")}).drop(both)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from answerloom.llm.frames import text_of, whole_row
 from answerloom.llm.groups import connect, only_possible
-from answerloom.sources.staging import stage
+from answerloom.sources.staging import small_batches, stage
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -134,7 +134,7 @@ def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(CELLS, dtype=np.int64)
     for batch in batches:
         values, lengths = _lists(batch.column("words"))
-        for first, last, part in _parts(values, lengths, 1 << 19):
+        for first, last, part in _parts(values, lengths, 1 << 17):
             row, shingle, _ = shingles(part, lengths[first:last])
             if len(row):
                 # a document counts once for a cell
@@ -232,7 +232,7 @@ def near_duplicates(
     """
     body = text_of(text)
     node = F.xxhash64(body, F.lit(23))
-    source = docs.select(
+    source = small_batches(docs).select(
         F.col(doc_id).cast("bigint").alias("doc_id"), node.alias("node"), body.alias("body")
     )
     worded = source.select("node", word_hashes(F.col("body")).alias("words"))

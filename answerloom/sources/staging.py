@@ -84,6 +84,22 @@ def publish(spark: SparkSession, draft: str, path: str) -> None:
         raise ValueError(f"{path} exists already")
 
 
+#: Texts and lists that go to a Python worker at once.
+BATCH_BYTES = "4m"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session from now on sends Python workers Arrow batches of about BATCH_BYTES.
+
+    Spark's own limits, 10,000 rows and 64 MB, hold several copies of that in the JVM and in each
+    worker.  A limit that the session names itself stays.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if key not in conf.getAll:
+        conf.set(key, BATCH_BYTES)
+    return df
+
+
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
     """Give a file scan at least one partition per core; larger scans pass through.
 
