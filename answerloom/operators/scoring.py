@@ -11,6 +11,7 @@ from answerloom.functions.arrays import records
 from answerloom.functions.rouge import common_tokens, f1
 from answerloom.functions.text import tokenize_ws
 from answerloom.names import ANSWER, SUBSET
+from answerloom.sources.staging import small_batches
 
 DIGITS = 6
 
@@ -19,7 +20,7 @@ def score_pairs(df: DataFrame, prediction: str, reference: str = ANSWER) -> Data
     """Add ``rouge1_f1`` and ``rougeL_f1`` of each row, in place: no shuffle."""
     p, r = F.col("__p"), F.col("__r")
     return (
-        df.withColumns(
+        small_batches(df).withColumns(
             {"__p": tokenize_ws(F.col(prediction)), "__r": tokenize_ws(F.col(reference))}
         )
         .withColumn("__n", common_tokens(p, r))

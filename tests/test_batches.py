@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from answerloom.llm.bpe import round_trip
 from answerloom.llm.minhash import near_duplicates
 from answerloom.llm.queries import tokenizer
+from answerloom.operators.scoring import score_pairs
 
 LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -14,6 +15,7 @@ LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 STEPS = {
     "encode": lambda docs: round_trip(docs, *tokenizer()),
     "duplicates": near_duplicates,
+    "score": lambda docs: score_pairs(docs, "text", "text"),
 }
 
 
