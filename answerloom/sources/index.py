@@ -1,10 +1,10 @@
 """A retrieval index in a folder: raw segments, fitted versions and a manifest for each.
 
-A segment holds what a set of rows adds: its distinct questions with their counted terms, and
+A segment holds what a set of rows adds: its distinct questions, and
 its part of the term and row counts.  All of that is additive, so appending counts the new
 rows only; document frequencies, sizes and copies are merged by sums.  The weights
-depend on all counts and are fitted anew from the stored term counts, no old text is read
-again.  A version becomes visible by its manifest, which is written last; readers of an
+depend on all counts and are fitted anew from the stored term counts; old questions are put into
+blocks again, their terms are not counted again.  A version becomes visible by its manifest, which is written last; readers of an
 earlier version are not disturbed.
 """
 
@@ -15,8 +15,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from answerloom.functions.arrays import value_counts
-from answerloom.functions.text import char_ngrams, clean_text
+from answerloom.functions.text import clean_text
 from answerloom.names import ID, QUESTION, SUBSET
 from answerloom.operators import retrieval
 from answerloom.operators.corpus import subset_or_null
@@ -47,15 +46,11 @@ def _write_segment(train: DataFrame, folder: str) -> None:
     entries = asked.groupBy("subset", F.md5("q").alias("key")).agg(
         F.first("q").alias("q"), F.count("*").alias("copies"), F.min(ID).alias("tid")
     )
-    counted = entries.withColumn("grams", value_counts(char_ngrams(F.col("q"))))
-    counted.write.parquet(f"{folder}/entries")
-    written = train.sparkSession.read.parquet(f"{folder}/entries")
-    terms = written.select("subset", "copies", F.explode("grams").alias("gram", "k"))
-    (
-        terms.groupBy("subset", "gram")
-        .agg(F.sum("copies").alias("df"), F.sum(F.col("copies") * F.col("k")).alias("tf"))
-        .write.parquet(f"{folder}/stats")
-    )
+    with scratch(train.sparkSession):
+        numbered = retrieval.number_entries(entries.withColumnRenamed("subset", "grp"), "entries")
+        named = {"grp": "subset"}
+        numbered.drop("size", "eid").withColumnsRenamed(named).write.parquet(f"{folder}/entries")
+        retrieval.text_stats(numbered).withColumnsRenamed(named).write.parquet(f"{folder}/stats")
     retrieval.answer_rows(train).write.parquet(f"{folder}/rows")
 
 
@@ -88,20 +83,16 @@ def _fit(spark: SparkSession, path: str, manifest: dict) -> None:
             F.first("q").alias("q"),
             F.sum("copies").alias("copies"),
             F.min("tid").alias("tid"),
-            F.first("grams").alias("grams"),
         )
     )
     numbered = retrieval.number_entries(merged, "entries")
-    counts = numbered.select(
-        "grp", "eid", "copies", "size", F.explode("grams").alias("gram", "k")
-    )
     stats = (
         _by_index(_segments(spark, path, manifest, "stats"), groups)
         .groupBy("grp", "gram")
         .agg(F.sum("df").alias("df"), F.sum("tf").alias("tf"))
     )
     rows = _segments(spark, path, manifest, "rows")
-    retrieval.fit(groups, numbered.drop("grams"), counts, stage(stats, "stats"), rows, manifest["cap"], save)
+    retrieval.fit(groups, numbered, stage(stats, "stats"), rows, manifest["cap"], save)
 
 
 def _publish(spark: SparkSession, path: str, manifest: dict) -> None:

@@ -124,3 +124,16 @@ def test_publishing_leaves_no_second_copy(spark, tmp_path):
     left = set(os.listdir(root)) - before if os.path.isdir(root) else set()
     assert not left
     assert {r[0] for r in load_index(spark, str(tmp_path / "index")).blocks.select("grp").collect()} == {"*", "=S"}
+
+
+def test_a_stored_index_takes_little_more_room_than_its_texts(spark, tmp_path):
+    """Neither segments nor fitted versions hold a row or an array for the terms of each text."""
+    from test_retrieval import long_texts, written
+
+    texts = long_texts(1500)
+    rows = [(f"T{i}", q, "x", None) for i, q in enumerate(texts)]
+    old, new = (spark.createDataFrame(x, TRAIN) for x in (rows[:1000], rows[1000:]))
+    path = str(tmp_path / "index")
+    save_index(old, path)
+    append_rows(new, path)
+    assert written(path) < 4 * sum(map(len, texts))
