@@ -279,7 +279,11 @@ def _keep_frequent(bits: np.ndarray):
 
 
 def _salted(df: DataFrame, table: DataFrame, on: list[str], keys: list[str], value: str, how: str = "inner") -> DataFrame:
-    """Join ``table`` (``keys``, ``value``) at columns ``on``, each of its rows at ``SALTS`` keys."""
+    """Join ``table`` (``keys``, ``value``) at columns ``on``, each of its rows at ``SALTS`` keys.
+
+    By a shuffle: the planner takes the copies for the size of the compressed file that the table comes
+    from, and would build tables of all of them in the driver, several at a time.
+    """
     copies = table.select(*[F.col(k).alias(f"_{k}") for k in keys], value).withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     )
@@ -287,7 +291,7 @@ def _salted(df: DataFrame, table: DataFrame, on: list[str], keys: list[str], val
     match = F.col("_salt0") == F.col("_salt")
     for a, k in zip(on, keys, strict=True):
         match &= F.col(a) == F.col(f"_{k}")
-    out = df.withColumn("_salt0", salt).join(copies, match, how)
+    out = df.withColumn("_salt0", salt).join(copies.hint("merge"), match, how)
     return out.drop("_salt0", "_salt", *[f"_{k}" for k in keys])
 
 
@@ -388,7 +392,7 @@ def _scored(levels: list[DataFrame], vocabulary: DataFrame) -> DataFrame:
     inside = _inside(levels)
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _IDS]
     match = same[0] & same[1] & same[2] & same[3]
-    left = rows.join(inside, match, "left").where(
+    left = rows.join(inside.hint("merge"), match, "left").where(
         F.col("most").isNull() | (F.col("most").cast("decimal(38,0)") * 100 < F.col("a").cast("decimal(38,0)") * 80)
     )
     return _salted(left.select(*_IDS, "a", "l", "r", "score"), vocabulary, ["w1"], ["w1"], "lang")

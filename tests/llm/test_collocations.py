@@ -128,3 +128,19 @@ def test_partial_counts_of_rare_phrases_are_not_shuffled(spark, monkeypatch):
 
 def test_thresholds_beyond_a_byte(spark):
     check(spark, [("en", "a b c d e")] * 310 + [("en", "a b c d f")] * 290, 300)
+
+
+def test_copies_of_a_table_do_not_go_through_the_driver(spark, tmp_path, capsys):
+    """The planner takes the copies of a small file's rows for small, and would broadcast each of these joins."""
+    ids = ["w1", "w2", "w3", "w4"]
+    levels = []
+    for width in range(1, 5):
+        path = str(tmp_path / f"level-{width}")
+        spark.range(200).selectExpr(*[f"id * {i + 1} as {c}" for i, c in enumerate(ids[:width])], "id as a").write.parquet(path)
+        levels.append(spark.read.parquet(path))
+    path = str(tmp_path / "vocabulary")
+    spark.range(200).selectExpr("'x' as lang", "id as w1").write.parquet(path)
+    capsys.readouterr()
+    module._scored(levels, spark.read.parquet(path)).explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
