@@ -137,3 +137,16 @@ def test_a_stored_index_takes_little_more_room_than_its_texts(spark, tmp_path):
     save_index(old, path)
     append_rows(new, path)
     assert written(path) < 4 * sum(map(len, texts))
+
+
+def test_exchanges_are_cut_once_for_an_evaluation(spark, sf_dir):
+    """The conversations are joined with themselves and cleaned for one file, which all passes read."""
+    import glob
+
+    from answerloom.plans.catalog import QUERIES
+    from answerloom.sources.staging import scratch
+
+    with scratch(spark) as folder:
+        QUERIES["evaluate_predictions"](spark, sf_dir)
+        assert len(glob.glob(f"{folder.removeprefix('file:')}/qa-*")) == 1
+        assert not glob.glob(f"{folder.removeprefix('file:')}/counts-*")
