@@ -33,7 +33,7 @@ from answerloom.plans.corpora import (
     table,
 )
 from answerloom.sources import index, tables
-from answerloom.sources.staging import new_path, stage
+from answerloom.sources.staging import TEXT_CODEC, new_path, stage
 from answerloom.streaming import answers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -327,7 +327,7 @@ def shuffle_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _split(spark: SparkSession, sf_dir: str, share: float = HOLDOUT) -> tuple[DataFrame, DataFrame]:
     """Both parts of the clean corpus, written once because many passes read it."""
-    return sampling.stratified_split(stage(_qa(spark, sf_dir), "qa", ID), share, SEED)
+    return sampling.stratified_split(stage(_qa(spark, sf_dir), "qa", ID, codec=TEXT_CODEC), share, SEED)
 
 
 def _all_routes(holdout: DataFrame) -> DataFrame:
@@ -553,7 +553,7 @@ def batch_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _evaluated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Index on the train part, holdout answered by the stub with both hybrids on."""
     # written once, because many passes read it
-    qa = stage(dialogue_qa(spark, sf_dir).select(*QA), "qa", ID)
+    qa = stage(dialogue_qa(spark, sf_dir).select(*QA), "qa", ID, codec=TEXT_CODEC)
     train, holdout = sampling.stratified_split(qa, 0.2, SEED)
     predicted = predict.batch_predict(
         holdout,

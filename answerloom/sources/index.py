@@ -20,7 +20,7 @@ from answerloom.names import ID, QUESTION, SUBSET
 from answerloom.operators import retrieval
 from answerloom.operators.corpus import subset_or_null
 from answerloom.operators.retrieval import EVERYTHING, Index, own_index
-from answerloom.sources.staging import publish_text, scratch, stage
+from answerloom.sources.staging import TEXT_CODEC, publish_text, scratch, stage
 
 _FITTED = ("groups", "sizes", "terms", "blocks")
 
@@ -51,7 +51,7 @@ def _write_segment(train: DataFrame, folder: str) -> None:
         named = {"grp": "subset"}
         numbered.drop("size", "eid").withColumnsRenamed(named).write.parquet(f"{folder}/entries")
         retrieval.text_stats(numbered).withColumnsRenamed(named).write.parquet(f"{folder}/stats")
-    retrieval.answer_rows(train).write.parquet(f"{folder}/rows")
+    retrieval.answer_rows(train).write.parquet(f"{folder}/rows", compression=TEXT_CODEC)
 
 
 def _segments(spark: SparkSession, path: str, manifest: dict, table: str) -> DataFrame:

@@ -150,3 +150,10 @@ def test_exchanges_are_cut_once_for_an_evaluation(spark, sf_dir):
         QUERIES["evaluate_predictions"](spark, sf_dir)
         assert len(glob.glob(f"{folder.removeprefix('file:')}/qa-*")) == 1
         assert not glob.glob(f"{folder.removeprefix('file:')}/counts-*")
+
+
+def test_answers_are_stored_compressed(spark, tmp_path):
+    path = str(tmp_path / "index")
+    save_index(spark.createDataFrame([(f"T{i}", f"word{i}", "long answer " * 50, "a") for i in range(5)], TRAIN), path)
+    assert all(".zstd." in f for f in load_index(spark, path).rows.inputFiles())
+    assert load_index(spark, path).rows.where(F.length("answer") == 600).count() == 5
